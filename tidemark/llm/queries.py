@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, sharding
+from tidemark.llm import mixing, packing, sharding, simhash
 from tidemark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
