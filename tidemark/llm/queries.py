@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, mixing, packing, secretscan, sharding, simhash
+from tidemark.llm import langid, matroska, mixing, packing, quality, secretscan, sharding, simhash, topk, urlfilter
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.packets(matroska.with_media(table(spark, sf_dir, "documents")))
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.filter_urls(pages, urlfilter.build(urlfilter.standing_list(pages)))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,6 +43,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -39,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.SQL}
+    return {"op3_topk": topk.SQL, "op4_mixing": mixing.SQL, "op6_url_filter": urlfilter.SQL}
