@@ -1,15 +1,390 @@
-"""The named queries of the reference operators and their SQL."""
+"""The named queries of the reference operators and their SQL.
+
+documents stand in for articles (title: the first line; excerpt: the text), events for the run logs of
+sources (user_id), pages for fetched pages, orders for published dates. SQL is written apart from the
+operators; only the pattern blocks are shared, in RE2's notation.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import dates, text
+from tidemark.functions import lexicons as L
+from tidemark.operators import dedup, enrich, gates, monitor, search, validate
+from tidemark.plans.ingest import account, judge
+from tidemark.sources import feeds
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+NOW = "2024-02-05 00:00:00"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def articles(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "documents").select("doc_id", "source", "lang", F.element_at(F.split(t, "\n", 2), 1).alias("title"), t.alias("excerpt"))
+
+
+def logs(spark: SparkSession, d: str) -> DataFrame:
+    kind, v = F.col("event_type"), F.floor("value").cast("long")
+    found = F.when(kind.isin("error", "signup"), 0).otherwise(F.coalesce(v, F.lit(0))).cast("long")
+    return table(spark, d, "events").select(
+        F.col("user_id").alias("source_id"), F.col("event_id").alias("run_id"), F.col("ts").cast("timestamp").alias("started_at"), F.when(kind == "error", "error").when(kind == "view", "running").otherwise("success").alias("status"),
+        found.alias("found"), F.when(kind == "purchase", 1).otherwise(0).cast("long").alias("new"), F.when(kind == "click", "3 rejected by filter").alias("error"),
+    )
+
+
+def now():
+    return F.lit(NOW).cast("timestamp")
+
+
+ART = "art AS (SELECT doc_id, source, lang, string_split(coalesce(text, ''), chr(10))[1] AS title, coalesce(text, '') AS excerpt FROM documents)"
+LOGS = """logs AS (SELECT user_id AS source_id, event_id AS run_id, ts AS started_at, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'running' ELSE 'success' END AS status,
+  CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE coalesce(floor(value)::BIGINT, 0) END AS found, (event_type = 'purchase')::BIGINT AS new, CASE WHEN event_type = 'click' THEN '3 rejected by filter' END AS error FROM events)"""
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def re(col: str, pattern: str) -> str:
+    return f"regexp_matches({col}, {q(pattern)})"
+
+
+def any_re(col: str, block: list[str]) -> str:
+    return "(" + " OR ".join(re(col, L.sql_pattern(p)) for p in block) + ")"
+
+
+def sum_re(col: str, block: list[str]) -> str:
+    return "(" + " + ".join(f"{re(col, L.sql_pattern(p))}::INT" for p in block) + ")"
+
+
+def tr(x: str) -> str:
+    return f"trim({x}, chr(32) || chr(9) || chr(10) || chr(13) || chr(12))"
+
+
+@query("""SELECT source, count(*) AS articles, sum(n_chars)::BIGINT AS chars, list_sort(list(n_chars))[(count(n_chars) // 2) + 1]::DOUBLE AS median_chars FROM documents GROUP BY source""")
+def source_baseline(spark, d):
+    return table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("articles"), F.sum("n_chars").alias("chars"), monitor.upper_median(F.col("n_chars")).alias("median_chars"))
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'), ' ') AS text FROM pages""")
+def strip_html(spark, d):
+    return table(spark, d, "pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
+
+
+HASH = r"""u0 AS (SELECT page_id, trim(url) AS u FROM pages),
+u1 AS (SELECT page_id, u, regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) AS head FROM u0),
+u2 AS (SELECT page_id, u, head, regexp_replace(substr(u, length(head) + 1), '#.*$', '') AS rest FROM u1),
+u3 AS (SELECT page_id, u, lower(head) || regexp_extract(rest, '^([^?]*)', 1) AS base, list_filter(string_split(regexp_replace(rest, '^[^?]*\??', ''), '&'), lambda p: regexp_matches(p, '^[^=]*=.') AND regexp_extract(p, '^([^=]*)', 1) NOT IN ('utm_campaign','utm_content','utm_medium','utm_source','utm_term','fbclid','gclid','redirect','_')) AS ps FROM u2),
+h AS (SELECT page_id, u AS url, substr(sha256(regexp_replace(base || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(ps, '&') ELSE '' END, '/$', '')), 1, 32) AS url_hash FROM u3)"""
+
+
+@query(f"WITH {HASH} SELECT page_id, url_hash FROM h")
+def url_hash(spark, d):
+    return table(spark, d, "pages").select("page_id", text.url_hash(F.col("url")).alias("url_hash"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def known_anti_join(spark, d):
+    return dedup.unknown(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id").select("doc_id", "source")
+
+
+@query("SELECT md5(substr(text, 1, 250)) AS prefix_hash, count(*) AS rows FROM documents WHERE length(text) >= 250 GROUP BY 1 HAVING count(*) >= 2")
+def repeated_prefix(spark, d):
+    return dedup.repeated_prefix(table(spark, d, "documents"), "text")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS nth FROM documents QUALIFY nth > 1")
+def repeated_rows(spark, d):
+    x = table(spark, d, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+    return dedup.repeats(x, ["h"], ["doc_id"]).select("doc_id", F.col("nth").cast("long").alias("nth"))
+
+
+@query("WITH x AS (SELECT doc_id, md5(text) AS h FROM documents) SELECT h, min(doc_id) AS doc_id FROM x GROUP BY h")
+def first_seen(spark, d):
+    return dedup.first_seen(table(spark, d, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h")), ["h"], ["doc_id"])
+
+
+BASE = f"""{LOGS}, r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY started_at DESC, run_id DESC) AS nth FROM logs QUALIFY nth <= 20),
+base AS (SELECT source_id, count(*) AS runs, sum(found)::BIGINT AS found_sum, sum(new)::BIGINT AS new_sum, count(*) FILTER (error ILIKE '%reject%') AS reject_runs, list_sort(list(found))[count(*) // 2 + 1]::DOUBLE AS median_found,
+  coalesce(min(nth) FILTER (found <> 0) - 1, count(*)) AS zero_streak, coalesce(min(nth) FILTER (status <> 'error') - 1, count(*)) AS error_streak, max(found) FILTER (nth <= 2) AS latest_two_max, max(started_at) AS last_started FROM r GROUP BY source_id)"""
+
+
+@query(f"WITH {BASE} SELECT * FROM base")
+def run_baselines(spark, d):
+    return monitor.baselines(logs(spark, d))
+
+
+PUB = f"""days AS (SELECT user_id AS source_id, ts::DATE AS day, count(*) AS n, max(ts) AS newest FROM events WHERE event_type IN ('signup', 'purchase') AND ts <= TIMESTAMP '{NOW}' GROUP BY ALL),
+gaps AS (SELECT *, date_diff('day', lag(day) OVER (PARTITION BY source_id ORDER BY day), day) AS gap FROM days),
+cad0 AS (SELECT source_id, sum(n)::BIGINT AS dates, count(*) AS days, coalesce(list_sort(list(gap) FILTER (gap IS NOT NULL))[count(gap) // 2 + 1], 0)::DOUBLE AS median_gap, max(newest) AS newest FROM gaps GROUP BY source_id),
+cad AS (SELECT *, CASE WHEN days < 6 THEN greatest(60.0, c) ELSE c END AS threshold FROM (SELECT *, greatest(3.0::DOUBLE, least(365.0::DOUBLE, 3 * median_gap)) AS c FROM cad0)),
+pub AS (SELECT source_id, dates, days, median_gap, newest, threshold::DOUBLE AS threshold, CASE WHEN dates >= 4 THEN (epoch_us(TIMESTAMP '{NOW}') - epoch_us(newest)) / 86400000000.0 > threshold END AS stale FROM cad)"""
+
+
+def published(spark, d):
+    return table(spark, d, "events").filter(F.col("event_type").isin("signup", "purchase")).select(F.col("user_id").alias("source_id"), F.col("ts").cast("timestamp").alias("published_at"))
+
+
+@query(f"WITH {PUB} SELECT * FROM pub")
+def publish_gaps(spark, d):
+    return monitor.publish_cadence(published(spark, d), now())
+
+
+@query(f"""WITH {BASE}, {PUB}, peak AS (SELECT source_id, max(found) > 0 AS peak_found FROM logs GROUP BY source_id),
+j AS (SELECT base.*, peak_found, coalesce(stale, coalesce((epoch_us(TIMESTAMP '{NOW}') - epoch_us(newest)) / 86400000000.0, 999) > 14) AS no_recent FROM base LEFT JOIN pub USING (source_id) JOIN peak USING (source_id)),
+f AS (SELECT *, error_streak >= 3 AS es, no_recent AND median_found = 0 AND runs >= 4 AS si, no_recent AND median_found >= 5 AND runs >= 2 AND latest_two_max < greatest(2, median_found * 0.3) AS fc, zero_streak >= 10 AND peak_found AS sd, found_sum >= 20 AND new_sum <= 2 AND reject_runs >= 3 AS cr FROM j)
+SELECT source_id, runs, found_sum, new_sum, reject_runs, median_found, zero_streak, error_streak, latest_two_max, last_started, no_recent, peak_found,
+  array_to_string(list_filter([CASE WHEN es THEN 'ERROR_STREAK' END, CASE WHEN si THEN 'SILENT' WHEN fc THEN 'FOUND_COLLAPSE' END, CASE WHEN sd THEN 'SILENT_DEATH' END, CASE WHEN cr THEN 'CHRONIC_REJECTION' END], lambda x: x IS NOT NULL), ',') AS flags,
+  CASE WHEN es OR si OR fc THEN 'critical' WHEN cr THEN 'chronic' ELSE 'none' END AS bucket FROM f""")
+def source_flags(spark, d):
+    return monitor.flags(logs(spark, d), published(spark, d), now())
+
+
+@query("""SELECT s_suppkey AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN (SELECT user_id, max(ts) AS t FROM events GROUP BY 1) e ON e.user_id = s_suppkey
+WHERE s_acctbal > 0 AND (t IS NULL OR (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(t)) / 60000000.0 >= 0.8 * (1440 + 60 * n_nationkey))""")
+def due_sources(spark, d):
+    last = table(spark, d, "events").groupBy(F.col("user_id").alias("s_suppkey")).agg(F.max(F.col("ts").cast("timestamp")).alias("last_scraped_at"))
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(last, "s_suppkey", "left")
+    s = s.select(F.col("s_suppkey").alias("source_id"), (F.col("s_acctbal") > 0).alias("enabled"), "last_scraped_at", (F.lit(1440) + F.col("n_nationkey") * 60).alias("scrape_interval_minutes"))
+    return monitor.due(s, F.lit("2024-01-31 00:00:00").cast("timestamp")).select("source_id")
+
+
+@query(f"WITH {LOGS}, x AS (SELECT max(started_at) AS last_ok FROM logs WHERE status IN ('success', 'partial')) SELECT last_ok, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last_ok)) / 3600000000.0 AS hours_since, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last_ok)) / 3600000000.0 > 6 AS alarm FROM x")
+def heartbeat(spark, d):
+    return monitor.heartbeat(logs(spark, d), now())
+
+
+@query(f"WITH {LOGS} SELECT source_id, run_id FROM logs WHERE status = 'running' AND epoch_us(TIMESTAMP '{NOW}') - epoch_us(started_at) > 1800000000")
+def stuck_runs(spark, d):
+    return monitor.stuck(logs(spark, d), now()).select("source_id", "run_id")
+
+
+@query("""WITH a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-15'), b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-15')
+SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN a.user_id IS NULL THEN 'newly' WHEN b.user_id IS NULL THEN 'recovered' ELSE 'persisting' END AS state FROM a FULL JOIN b ON a.user_id = b.user_id""")
+def set_transition(spark, d):
+    e = table(spark, d, "events").filter("event_type = 'error'")
+    return monitor.transition(e.filter("ts < timestamp '2024-01-15'"), e.filter("ts >= timestamp '2024-01-15'"), "user_id")
+
+
+@query("SELECT event_type AS verdict, count(*) AS n, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS percent FROM events GROUP BY 1")
+def verdict_mix(spark, d):
+    from pyspark.sql import Window
+
+    x = table(spark, d, "events").groupBy(F.col("event_type").alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+    return x.withColumn("percent", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()))  # a row a verdict
+
+
+@query("SELECT date_trunc('quarter', o_orderdate)::DATE::VARCHAR AS quarter, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS finished FROM orders GROUP BY 1")
+def quarter_buckets(spark, d):
+    return table(spark, d, "orders").groupBy(F.trunc("o_orderdate", "quarter").cast("string").alias("quarter")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"))
+
+
+@query("WITH x AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents) SELECT doc_id FROM x WHERE i % greatest(1, n // 40) = 0")
+def systematic_sample(spark, d):
+    return dedup.systematic(table(spark, d, "documents").select("doc_id"), "doc_id", 40)
+
+
+def _category_sql(rules: enrich.Rules) -> str:
+    scores = ", ".join(f"{w} * ({sum_re('t', p)} + {sum_re('title', p)}) AS s{k}" for k, (w, p) in enumerate(rules.values()))
+    ranked = ", ".join(f"{{'score': s{k}, 'ord': {-k}, 'slug': {q(s)}}}" for k, s in enumerate(rules))
+    return f"""WITH {ART}, x AS (SELECT doc_id, title, title || chr(10) || excerpt AS t FROM art), y AS (SELECT doc_id, {scores} FROM x), z AS (SELECT doc_id, list_max([{ranked}]) AS b FROM y)
+SELECT doc_id, CASE WHEN b.score = 0 THEN 'general' ELSE b.slug END AS slug, b.score::INT AS score, CASE WHEN b.score = 0 THEN 0.3::DOUBLE ELSE least(0.9::DOUBLE, 0.4::DOUBLE + 0.15::DOUBLE * b.score) END AS confidence FROM z"""
+
+
+@query(_category_sql(L.CATEGORIES))
+def category_pick(spark, d):
+    return articles(spark, d).select("doc_id", enrich.category(F.col("title"), F.col("excerpt")).alias("c")).select("doc_id", "c.*")
+
+
+@query(_category_sql(L.PROSE_CATEGORIES))
+def category_prose(spark, d):
+    return articles(spark, d).select("doc_id", enrich.category(F.col("title"), F.col("excerpt"), rules=L.PROSE_CATEGORIES).alias("c")).select("doc_id", "c.*")
+
+
+@query(f"""WITH {ART}, x AS (SELECT doc_id, source, title || chr(10) || substr(excerpt, 1, 400) AS t FROM art)
+SELECT doc_id, array_to_string(list_filter([{", ".join(f"CASE WHEN {any_re('t', p)} THEN '{s}' END" for s, p in L.SEGMENTS.items())}], lambda v: v IS NOT NULL), ',') AS segments FROM x""")
+def segments(spark, d):
+    none = F.lit(None).cast("string")
+    return articles(spark, d).select("doc_id", F.array_join(enrich.segments(F.col("title"), F.col("excerpt"), none, none), ",").alias("segments"))
+
+
+@query(f"WITH {ART} SELECT doc_id, CASE WHEN {any_re('title || chr(10) || substr(excerpt, 1, 600)', L.MARKET)} THEN 'market_report' ELSE 'news' END AS document_type FROM art")
+def document_type(spark, d):
+    none = F.lit(None).cast("string")
+    return articles(spark, d).select("doc_id", enrich.document_type(none, F.col("source"), none, F.col("title"), F.col("excerpt")).alias("document_type"))
+
+
+@query(f"""WITH {ART}, x AS (SELECT doc_id, least(2, {sum_re("title || chr(10) || excerpt", L.MARITIME)}) AS hits, {any_re("title || chr(10) || excerpt", L.SPAM)} AS spam FROM art)
+SELECT doc_id, CASE WHEN hits < 2 AND spam THEN 'hide' ELSE 'pass' END AS decision, CASE WHEN hits < 2 AND spam THEN 'spam' WHEN hits >= 2 THEN 'maritime' ELSE 'unknown' END AS reason, hits::INT AS hits FROM x""")
+def moderation(spark, d):
+    return articles(spark, d).select("doc_id", gates.moderate(F.col("title"), F.col("excerpt")).alias("m")).select("doc_id", "m.*")
+
+
+CTA_SQL = "(" + " + ".join(f"len(regexp_extract_all(e, {q(L.sql_pattern(p))}))" for p in L.CTA) + ")"
+
+
+def _reason_sql() -> str:
+    junk = " ".join(f"WHEN {re('e', L.sql_pattern(p))} AND length({tr(f"regexp_replace(regexp_replace(e, {q(L.sql_pattern(p))}, ' ', 'g'), '\\s+', ' ', 'g')")}) < 100 THEN 'junk-phrase'" for p in L.JUNK_PHRASES)
+    return f"""CASE WHEN length(t) < 8 THEN 'title-short' WHEN {any_re("t", L.HUB_TITLES)} THEN 'title-hub' WHEN {any_re("t", L.CTA_TITLES)} THEN 'title-cta' WHEN {any_re("u", L.JUNK_URLS)} THEN 'url-junk'
+  WHEN length(e) < 30 THEN 'excerpt-short' WHEN {any_re("e", L.LOCKED)} THEN 'locked' {junk} WHEN length(e) > 800 AND {CTA_SQL} >= 8 THEN 'cta-dense' END"""
+
+
+@query(f"WITH {ART}, x AS (SELECT doc_id, {tr('title')} AS t, {tr('excerpt')} AS e, '' AS u FROM art) SELECT doc_id, {_reason_sql()} AS reason FROM x")
+def quality_reason(spark, d):
+    return articles(spark, d).select("doc_id", gates.article_reason(F.col("title"), F.col("excerpt")).alias("reason"))
+
+
+@query(f"""WITH {ART}, x AS (SELECT doc_id, {tr('excerpt')} AS t, list_filter(regexp_extract_all(title, '[A-Za-z][A-Za-z0-9''-]*'), lambda w: length(w) > 3) AS ws FROM art)
+SELECT doc_id, CASE WHEN length(t) < 25 THEN 'too-short' WHEN {any_re('substr(t, 1, 150)', L.BOILERPLATE)} THEN 'boilerplate' WHEN len(ws) >= 3 AND len(list_filter(ws, lambda w: contains(lower(t), lower(w)))) = 0 THEN 'no-title-overlap' END AS reason FROM x""")
+def gate_reason(spark, d):
+    return articles(spark, d).select("doc_id", gates.gate_reason(F.col("title"), F.col("excerpt")).alias("reason"))
+
+
+@query(f"WITH {HASH}, p AS (SELECT page_id, html AS e FROM pages) SELECT page_id, {CTA_SQL}::INT AS density FROM p")
+def cta_density(spark, d):
+    return table(spark, d, "pages").select("page_id", gates.cta_density(F.col("html")).cast("int").alias("density"))
+
+
+@query(r"""WITH c AS (SELECT doc_id, trim(regexp_replace(substr(text, 1, 4000), '\s+', ' ', 'g'), ' ') AS c FROM documents), s AS (SELECT doc_id, c, regexp_extract_all(c, '[^.!?]+[.!?]+') AS s FROM c), t AS (SELECT *, trim(array_to_string(s[1:2], ' '), ' ') AS two FROM s)
+SELECT doc_id, CASE WHEN len(s) >= 2 AND length(two) >= 60 THEN substr(two, 1, 320) WHEN length(c) <= 280 THEN c ELSE regexp_replace(substr(c, 1, 280), '\s+\S*$', '') || '…' END AS summary FROM t""")
+def summary(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.summary(F.col("text")).alias("summary"))
+
+
+@query()
+def keywords(spark, d):
+    return articles(spark, d).select("doc_id", enrich.keywords(F.col("title"), F.col("excerpt")).alias("keywords"))
+
+
+@query()
+def content_terms(spark, d):
+    t, e = F.col("title"), F.col("excerpt")
+    reason = gates.gate_reason(t, e)
+    terms = F.slice(gates.filter_terms(t, enrich.keywords(t, e, 45)), 1, 15)
+    return articles(spark, d).select("doc_id", F.when(reason.isNull(), terms).otherwise(F.array().cast("array<string>")).alias("terms"), reason.alias("reason"))
+
+
+TAGS = [("function", "the"), ("function", "der"), ("legal", "license"), ("legal", "apache license"), ("contact", "example"), ("article", "of the"), ("article", "de la")]
+
+
+@query(f"""WITH {ART}, tags AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in TAGS)}) t(slug, term)),
+x AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS u, ' ' || trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS t, ' ' || trim(regexp_replace(lower(excerpt), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS e FROM art),
+m AS (SELECT doc_id, slug, contains(u, ' ' || term || ' ') AS hu, contains(t, ' ' || term || ' ') AS ht, contains(e, ' ' || term || ' ') AS he, contains(term, ' ') AS ph FROM x, tags)
+SELECT doc_id, slug, max(hu::INT * 10 + ht::INT * (CASE WHEN ph THEN 6 ELSE 4 END) + he::INT * (CASE WHEN ph THEN 2 ELSE 1 END))::INT AS score FROM m GROUP BY ALL HAVING score >= 4""")
+def tag_scores(spark, d):
+    a = articles(spark, d).withColumn("url", F.coalesce("source", F.lit("")))
+    return enrich.tag_scores(a, spark.createDataFrame(TAGS, "slug string, term string"), "doc_id").select("doc_id", "slug", "score")
+
+
+@query(f"WITH {HASH} SELECT count(*) AS missing, count(DISTINCT url_hash) AS hashes FROM h WHERE url_hash NOT IN (SELECT url_hash FROM h WHERE url NOT LIKE '%?%')")
+def coverage_gap(spark, d):
+    p = table(spark, d, "pages").select("page_id", F.lit("all").alias("source_id"), text.url_hash(F.col("url")).alias("url_hash"), "url")
+    gap = dedup.coverage_gap(p, p.filter(~F.contains("url", F.lit("?"))))
+    return gap.agg(F.count(F.lit(1)).alias("missing"), F.countDistinct("url_hash").alias("hashes"))
+
+
+TERMS = ["the", "tion", "license", "example", "être", "straße", "nd"]
+
+
+@query(f"WITH {ART}, t AS (SELECT unnest([{', '.join(q(t) for t in TERMS)}]) AS term) SELECT term, greatest(count(*) FILTER (contains(lower(title), term)), count(*) FILTER (contains(lower(excerpt), term))) AS freq FROM art, t GROUP BY term")
+def term_doc_freq(spark, d):
+    return search.term_frequency(articles(spark, d), spark.createDataFrame([(t,) for t in TERMS], "term string"))
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS found FROM orders WHERE o_orderdate IS NOT NULL")
+def date_extract(spark, d):
+    """Every order's date, written in one of seven notations, and read again."""
+    o, k = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    forms = ["MMMM d, yyyy", "d MMM yyyy", "dd-MMM-yyyy", "MMM-dd-yyyy", "yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy"]
+    s = F.date_format(o, forms[0])
+    for i, f in enumerate(forms):
+        s = F.when(k == i, F.date_format(o, f)).otherwise(s)
+    return table(spark, d, "orders").filter("o_orderdate is not null").select("o_orderkey", dates.first_date(F.concat(F.lit("Published "), s, F.lit(" by staff")), now()).cast("string").alias("found"))
+
+
+@query("""WITH x AS (SELECT o_orderkey, CASE WHEN date_trunc('month', o_orderdate) < DATE '1996-06-01' THEN last_day(o_orderdate::DATE)::TIMESTAMP + INTERVAL 12 HOUR ELSE TIMESTAMP '1996-06-15 08:00:00' END AS at, CASE WHEN date_trunc('month', o_orderdate) < DATE '1996-06-01' THEN 'title_month' ELSE 'capture' END AS basis FROM orders WHERE o_orderdate IS NOT NULL) SELECT * FROM x""")
+def date_fallback(spark, d):
+    title = F.concat(F.lit("Market review "), F.date_format("o_orderdate", "MMMM yyyy"))
+    x = table(spark, d, "orders").filter("o_orderdate is not null").select("o_orderkey", dates.fallback_date(title, F.lit("1996-06-15 08:00:00").cast("timestamp")).alias("f"))
+    return x.select("o_orderkey", "f.at", "f.basis")
+
+
+@query("""WITH l AS (SELECT l_orderkey, min(l_shipdate)::DATE AS ship FROM lineitem GROUP BY 1), x AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END AS rss, CASE WHEN o_orderpriority LIKE '1%' THEN o_orderdate::DATE END AS meta, ship FROM orders JOIN l ON l_orderkey = o_orderkey)
+SELECT o_orderkey, coalesce(rss, meta, ship)::VARCHAR AS day, CASE WHEN rss IS NOT NULL THEN 'rss' WHEN meta IS NOT NULL THEN 'meta' ELSE 'sitemap' END AS signal,
+ CASE WHEN (rss IS NOT DISTINCT FROM coalesce(rss, meta, ship))::INT + (meta IS NOT DISTINCT FROM coalesce(rss, meta, ship))::INT + (ship = coalesce(rss, meta, ship))::INT >= 2 THEN 'high' WHEN rss IS NULL AND meta IS NULL THEN 'low' ELSE 'medium' END AS confidence FROM x""")
+def date_cascade(spark, d):
+    ship = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_date(F.min("l_shipdate")).alias("ship"))
+    o, day = table(spark, d, "orders").join(ship, "o_orderkey"), F.to_date("o_orderdate")
+    c = dates.cascade({"rss": F.when(F.col("o_orderstatus") != "P", day), "meta": F.when(F.col("o_orderpriority").startswith("1"), day), "sitemap": F.col("ship")})
+    return o.select("o_orderkey", c.alias("c")).select("o_orderkey", F.col("c.day").cast("string").alias("day"), "c.signal", "c.confidence")
+
+
+@query("""WITH x AS (SELECT event_id, CASE event_type WHEN 'error' THEN 403 WHEN 'view' THEN 404 WHEN 'click' THEN 429 WHEN 'signup' THEN 503 END AS status FROM events)
+SELECT CASE WHEN status IS NULL THEN 'network' WHEN status = 403 THEN 'forbidden' WHEN status = 404 THEN 'not_found' WHEN status = 429 THEN 'rate_limited' ELSE 'server_error' END AS kind, count(*) AS n FROM x GROUP BY 1""")
+def failure_kinds(spark, d):
+    said = {"error": "Status code 403", "view": "Status code 404", "click": "HTTP 429", "signup": "status: 503"}
+    e = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in said.items()], F.lit("fetch failed"))
+    return table(spark, d, "events").groupBy(text.failure_kind(text.status_of(e)).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def raw_rows(spark, d):
+    a = articles(spark, d)
+    return a.select(F.col("source").alias("source_id"), F.col("source").alias("source_name"), F.concat(F.lit("https://example.org/a/"), "doc_id").alias("url"), "title", "excerpt", F.when(F.col("lang") != "de", now()).alias("published_at"), F.lit(None).cast("string").alias("category_hint"), F.lit("trusted").alias("trust"), "doc_id")
+
+
+@query(f"""WITH {ART}, x AS (SELECT source AS source_id, doc_id, lang, {tr('title')} AS t, {tr('excerpt')} AS e, 'https://example.org/a/' || doc_id AS u, doc_id IN (SELECT doc_id FROM labels) AS known FROM art),
+y AS (SELECT source_id, CASE WHEN known THEN 'd' WHEN {_reason_sql()} IS NOT NULL THEN 'q' WHEN lang = 'de' THEN 'n' ELSE 'i' END AS o FROM x)
+SELECT source_id, count(*) AS found, count(*) FILTER (o = 'i') AS inserted, count(*) FILTER (o = 'd') AS duplicates, count(*) FILTER (o = 'q') AS rejected_quality, count(*) FILTER (o = 'n') AS rejected_no_date, 0::BIGINT AS unexplained, 'success' AS status FROM y GROUP BY 1""")
+def accounting(spark, d):
+    known = table(spark, d, "labels").select(text.url_hash(F.concat(F.lit("https://example.org/a/"), "doc_id")).alias("url_hash"))
+    return account(judge(raw_rows(spark, d), known))
+
+
+@query(f"""WITH {HASH}, o AS (SELECT doc_id AS idx, text AS excerpt, md5(text) AS h, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS nth, CASE WHEN length(text) >= 250 THEN count(*) OVER (PARTITION BY substr(text, 1, 250)) END AS same FROM documents WHERE text IS NOT NULL),
+v AS (SELECT 'R4' AS rule FROM o UNION ALL SELECT 'R8' FROM o WHERE nth > 1 UNION ALL SELECT 'R13' FROM o WHERE same >= 2 UNION ALL SELECT 'R15' FROM o WHERE length(excerpt) < 400),
+n AS (SELECT rule, count(*) AS c FROM v GROUP BY 1), r AS (SELECT 'R' || i AS rule FROM range(1, 16) t(i)) SELECT r.rule, coalesce(c, 0) AS failures FROM r LEFT JOIN n ON n.rule = r.rule""")
+def rule_failures(spark, d):
+    x = table(spark, d, "documents").filter("text is not null")
+    o = x.select(F.col("doc_id").alias("idx"), F.lit("would_insert").alias("decision"), F.concat(F.lit("https://example.org/a/x"), "doc_id").alias("url"), F.lit("A title").alias("title"), F.col("source").alias("source_id"), F.md5(F.col("text").cast("binary")).alias("url_hash"),
+        F.lit("2024-01-02").alias("published"), F.lit("rss").alias("signal"), F.lit("high").alias("confidence"), F.lit(2).alias("signals"), F.lit("2024-01-02").alias("raw_label"), F.col("text").alias("excerpt"))
+    return validate.failure_counts(validate.violations(o, now()))
+
+
+@query()
+def page_details(spark, d):
+    return feeds.page_details(table(spark, d, "pages"))
+
+
+@query("SELECT page_id, url AS loc, TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 HOUR AS lastmod FROM pages")
+def sitemap_scan(spark, d):
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 3600)
+    xml = F.concat(F.lit("<urlset><url><loc>"), "url", F.lit("</loc><lastmod>"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</lastmod></url></urlset>"))
+    return feeds.sitemap_entries(table(spark, d, "pages").select(F.col("page_id").cast("string").alias("sitemap_url"), xml.alias("payload"))).select(F.col("sitemap_url").cast("long").alias("page_id"), "loc", "lastmod")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
