@@ -121,7 +121,8 @@ def viterbi(score: np.ndarray, first: np.ndarray, n: np.ndarray, penalty: float)
     least = np.minimum.accumulate(before - row[:, None] * drop, axis=0) + row[:, None] * drop
     most = np.maximum.reduceat((sums - least).max(axis=1), first[has])
     label[:] = best[row]
-    mixed = has[most > penalty - 1e-3]
+    # (two stretches in two other languages need one switch only, so half of it counts)
+    mixed = has[most > penalty / 2 - 1e-3]
     if not len(mixed):
         return label
     mixed = mixed[np.argsort(-n[mixed], kind="stable")]
@@ -213,7 +214,7 @@ def spans_of(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
             ids = b.column("doc_id").cast(pa.int64())
             for lo, hi, s, e, row, lab, score, _ in label_batch(model, b.column("text"), penalty):
                 new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (lab[1:] != lab[:-1])))) if len(row) else np.zeros(0, np.int64)
-                last = np.append(new[1:], len(row)) - 1
+                last = (np.append(new[1:], len(row)) - 1)[: len(new)]
                 own = score[np.arange(len(row)), lab]
                 size = np.add.reduceat(e - s, new) if len(new) else np.zeros(0)
                 mean = np.add.reduceat(own, new) / size if len(new) else np.zeros(0)
