@@ -168,6 +168,23 @@ def test_simhash_recall(spark):
         assert got <= want and len(got) >= 0.9 * len(want)
 
 
+def test_simhash_crowded_keys(spark):
+    """One key scheme at every size: crowded keys are split and lose nothing."""
+    import inspect
+
+    assert inspect.signature(simhash.near_duplicates).parameters["together"].default == 1
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = sorted(map(tuple, simhash.near_duplicates(d).collect()))
+    assert want and sorted(map(tuple, simhash.near_duplicates(d, crowd=20).collect())) == want
+    rng = np.random.default_rng(5)
+    fp = rng.integers(0, 1 << 63, (40, 4)).astype(np.uint64)
+    row, key = simhash.key_rows(fp, 1)
+    row, place = simhash.places(row, key, np.arange(40), {int(k): 3 for k in np.unique(key)[::2]})
+    met = {(int(a), int(b), int(p) & 0xFFFF) for p in np.unique(place) for a in row[place == p] for b in row[place == p]}
+    r, k = simhash.key_rows(fp, 1)
+    assert met == {(int(a), int(b), int(p)) for p in np.unique(k) for a in r[k == p] for b in r[k == p]}
+
+
 def test_viterbi():
     rng = np.random.default_rng(2)
     for _ in range(60):
