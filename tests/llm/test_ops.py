@@ -228,6 +228,36 @@ def test_secrets(spark):
     assert clean.columns == d.columns and clean.count() == d.count() and not clean.filter(F.col("text").rlike('token = "[0-9a-f]{40}')).count()
 
 
+def test_one_secret_among_words(spark):
+    """p-values have no floor: a class of ordinary tokens doesn't hide the one that is certain."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    import re
+
+    base = [re.sub("[0-9A-Fa-f]{40}", "", r["text"]) for r in d.filter("text is not null").collect()]
+    words = [w for t in base[:300] for w in t.split() if w.isalpha() and w.isascii()]
+    rng = random.Random(4)
+    slugs = [s[:47].strip("-") for s in ("-".join(rng.choices(words, k=14)) for _ in range(600))]
+    draw = lambda n, of: "".join(rng.choices(of, k=n))
+    rows = [(i, f"see {s} there", "en", "a", 1) for i, s in enumerate(slugs)] + [(9000, f"key {draw(40, '0123456789abcdef')} end", "en", "a", 1)]
+    rows += [(2000 + i, "a long " + "".join(rng.choices(words, k=6))[:17] + " word", "en", "a", 1) for i in range(900)]
+    rows += [(9001 + i, f"key {draw(16, secretscan.SYMBOLS[:62])} end", "en", "a", 1) for i in range(3)]
+    rows += [(20_000 + i, t, "en", "a", 1) for i, t in enumerate(base)]
+    got = {(r["doc_id"], r["start"], r["end"]) for r in secretscan.find_secrets(docs(spark, rows)).collect()}
+    planted = {x for x in got if 9000 <= x[0] <= 9003}
+    assert (9000, 4, 44) in planted and len(planted) >= 3 and len(got - planted) <= 2  # text can imitate a 16-character key
+
+
+def test_p_values_are_the_simulated_ones():
+    """Where plain draws can tell, importance sampling gives their p-values; further out it goes on falling."""
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 50, (67, 66)).astype(float) ** 2
+    null, other = secretscan.null_of(counts, seed=1), secretscan.null_of(counts, draws=60_000, seed=2)
+    for n in (16, 40):
+        at = np.quantile(null[n][0], [0.5, 0.9])
+        assert np.allclose(secretscan.p_values(null[n], at), secretscan.p_values(other[n], at), rtol=0.1)
+        assert 0 < secretscan.p_values(null[n], np.array([-1.0]))[0] < 1e-4
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).toPandas()
     d = spark.read.parquet(f"{SF}/documents.parquet")

@@ -8,7 +8,8 @@ joins them to one statistic, small for random tokens.
 
 The hypothesis to reject is that the token is ordinary text. Its distribution of the statistic is
 simulated for each length class from the corpus's own letter-to-letter transitions, counted over all
-documents, so that a short token, which text can imitate, needs more evidence than a long one. The
+documents, so that a short token, which text can imitate, needs more evidence than a long one. Its tail
+is sampled by importance, so p-values have no floor, and one certain token among millions passes. The
 Benjamini-Hochberg procedure runs inside each length class over all candidates of the corpus.
 """
 
@@ -107,21 +108,60 @@ def transitions(docs: DataFrame) -> np.ndarray:
     return out.reshape(k + 1, k + 1)[:, :k]
 
 
-def null_of(counts: np.ndarray, draws: int = 20_000, seed: int = 7) -> dict[int, np.ndarray]:
-    """Sorted statistics of simulated text tokens for each length class, at its least length."""
+#: Powers of the text's transitions in the simulated chains: 0 is a uniform draw, 1 is text.
+HEATS = (0.0, 0.25, 0.5, 0.75, 1.0)
+Null = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def null_of(counts: np.ndarray, draws: int = 20_000, seed: int = 7) -> Null:
+    """For each length class, at its least length: sorted statistics, and P(statistic <= each) for text tokens.
+
+    Importance sampling: besides `draws` tokens of the text's own chain, draws / 20 each of chains between
+    text and uniform draws in every encoding. A token weighs its chance as text over its chance in the
+    whole mixture (at most about 2), so the far tail is estimated from tokens that do reach it.
+    """
     rng = np.random.default_rng(seed)
     begin = counts[-1] + counts.sum(axis=0) * 1e-6 + 1e-9
     step = counts[:-1] + 0.01 * begin / begin.sum()
-    step, begin = np.cumsum(step / step.sum(axis=1, keepdims=True), axis=1), np.cumsum(begin / begin.sum())
-    last = len(begin) - 1
-    x = np.zeros((draws, max(STRATA)), np.int64)
-    x[:, 0] = np.minimum(np.searchsorted(begin, rng.random(draws), "right"), last)
-    for t in range(1, x.shape[1]):
-        x[:, t] = np.minimum((step[x[:, t - 1]] <= rng.random(draws)[:, None]).sum(axis=1), last)
-    return {n: np.sort(battery(x[:, :n])[1][:, 3]) for n in STRATA}
+    step, begin = step / step.sum(axis=1, keepdims=True), begin / begin.sum()
+    begins, steps = [begin], [step]
+    for inside in _encoding_tables()[0]:
+        for heat in HEATS:
+            if heat < 1 or not inside.all():
+                begins.append(begin**heat * inside / (begin**heat * inside).sum())
+                steps.append(step**heat * inside / (step**heat * inside).sum(axis=1, keepdims=True))
+    each = np.array([draws] + [max(1, draws // 20)] * (len(begins) - 1))
+    chain, n, last = np.repeat(np.arange(len(each)), each), int(each.sum()), len(begin) - 1
+    b, t = np.array(begins), np.array(steps)
+    up_b, up_t = np.cumsum(b, axis=1), np.cumsum(t, axis=2)
+    up_b[:, -1:], up_t[:, :, -1:] = 2, 2
+    with np.errstate(divide="ignore"):
+        log_b, log_t = np.log(b), np.log(t)
+    x = np.zeros((n, max(STRATA)), np.int64)
+    x[:, 0] = np.minimum((up_b[chain] <= rng.random(n)[:, None]).sum(axis=1), last)
+    like = log_b[:, x[:, 0]]  # chains x tokens
+    out = {}
+    for k in range(1, x.shape[1]):
+        x[:, k] = np.minimum((up_t[chain, x[:, k - 1]] <= rng.random(n)[:, None]).sum(axis=1), last)
+        like += log_t[:, x[:, k - 1], x[:, k]]
+        if k + 1 in STRATA:
+            top = like.max(axis=0)
+            weight = np.exp(like[0] - top) / (each[:, None] * np.exp(like - top)).sum(axis=0)
+            stat = battery(x[:, : k + 1])[1][:, 3]
+            o = np.argsort(stat, kind="stable")
+            p = np.clip(np.cumsum(weight[o]), 1e-300, 1)
+            keep = np.append(np.diff(np.floor(100 * np.log(p))) > 0, True)  # to 1 %, rounded up
+            out[k + 1] = stat[o][keep], p[keep]
+    return out
+
+
+def p_values(null: tuple[np.ndarray, np.ndarray], stat: np.ndarray) -> np.ndarray:
+    """The chance of the next sampled statistic, so a token beyond all samples isn't given 0."""
+    at = np.searchsorted(null[0], stat, "left")
+    return np.append(null[1], 1.0)[at]
 
 
-def candidates_in(texts: list[str | None], null: dict[int, np.ndarray]) -> pd.DataFrame:
+def candidates_in(texts: list[str | None], null: Null) -> pd.DataFrame:
     """at, start, end, encoding, length_class, p_chi2, p_runs, p_serial, p_value of every candidate.
 
     Runs of digits alone (ids, amounts, card numbers) are no candidates."""
@@ -146,13 +186,13 @@ def candidates_in(texts: list[str | None], null: dict[int, np.ndarray]) -> pd.Da
             enc[part], stat[part] = battery(sym)
     for c in np.unique(cls):
         own = cls == c
-        p[own] = (1 + np.searchsorted(null[int(c)], stat[own, 3], "right")) / (1 + len(null[int(c)]))
+        p[own] = p_values(null[int(c)], stat[own, 3])
     x["encoding"] = [ENCODINGS[e][0] for e in enc]
     x["length_class"], x["p_chi2"], x["p_runs"], x["p_serial"], x["p_value"] = cls.astype("int32"), stat[:, 0], stat[:, 1], stat[:, 2], p
     return x
 
 
-def _scan(null: dict[int, np.ndarray]):
+def _scan(null: Null):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = candidates_in(b.column("text").to_pylist(), null)
@@ -163,7 +203,7 @@ def _scan(null: dict[int, np.ndarray]):
 
 
 def cutoffs(found: DataFrame, rate: float) -> dict[int, float]:
-    """The Benjamini-Hochberg cutoff of each length class. The p-values have at most draws + 1 levels."""
+    """The Benjamini-Hochberg cutoff of each length class. The p-values have a level for each 1 % at most."""
     c = found.groupBy("length_class", "p_value").count().toPandas().sort_values(["length_class", "p_value"])
     out = {}
     for k, g in c.groupby("length_class"):
@@ -176,7 +216,7 @@ def cutoffs(found: DataFrame, rate: float) -> dict[int, float]:
 SCHEMA = "doc_id long, start long, end long, encoding string, length_class int, p_chi2 double, p_runs double, p_serial double, p_value double"
 
 
-def scan(docs: DataFrame, rate: float = 0.01) -> tuple[DataFrame, dict[int, np.ndarray], dict[int, float]]:
+def scan(docs: DataFrame, rate: float = 0.01) -> tuple[DataFrame, Null, dict[int, float]]:
     null = null_of(transitions(docs))
     found = cut(narrow(docs, "doc_id", "text").filter("text is not null").mapInArrow(_scan(null), SCHEMA))
     return found, null, cutoffs(found, rate)
