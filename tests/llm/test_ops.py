@@ -131,6 +131,20 @@ def test_mixing_rates(spark):
     assert x.sort_values(key)[key].values.tolist() == again.sort_values(key)[key].values.tolist()
 
 
+def test_mixing_large_rates(spark):
+    """A small source meets its target weight however often it must repeat."""
+    import math
+
+    rows = [(i, "x", "en", "tiny", 1) for i in range(4)] + [(9, "y" * 20_000, "en", "large", 1)]
+    n = {r[0]: r[1] for r in mixing.mix_sources(docs(spark, rows), {"tiny": 1.0, "large": 1.0}).groupBy("source").count().collect()}
+    assert abs(n["tiny"] / 10_002 - 1) < 0.06
+    for m in (701.5, 5500.0, 250_000.0):
+        first, cdf = mixing.large_cdf(m)
+        p = np.diff(cdf, prepend=0.0)
+        for k in (int(m), int(m + 2 * math.sqrt(m)), int(m - 3 * math.sqrt(m))):
+            assert p[k - first] == pytest.approx(math.exp(-m + k * math.log(m) - math.lgamma(k + 1)), rel=1e-6)
+
+
 def test_url_filter(spark):
     entries = spark.createDataFrame([("bad.com",), ("x.org/a",), ("y.org/p?q=1",), (None,), ("",), ("bad.com",)], "entry string")
     urls = ["http://WWW.bad.com/z", "https://x.org/a/b?c", "x.org/ab", "http://y.org/p?q=1#f", "http://y.org/p?q=2", "http://notbad.com", "ftp://u@bad.com:21/"]

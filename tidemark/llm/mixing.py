@@ -3,19 +3,24 @@
 A source's documents repeat at the rate target bytes / own bytes. Each document's count is the inverse
 of the Poisson distribution with that mean at a uniform number hashed from the seed and the document, so
 it doesn't depend on partitions, order or retries. The copies are then spread over all partitions by
-another hash and sorted by it inside each: a global shuffle in one exchange, in the JVM throughout.
+another hash and sorted by it inside each: a global shuffle in one exchange, in the JVM throughout (but for
+the distributions of rates above DIRECT, one row a source).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
 
 BITS = 13  # hex digits of the hash in use: 52 bits
+DIRECT = 700.0  # the largest mean whose terms can start from exp(-mean)
 
 
 def uniform(*parts: Column) -> Column:
@@ -28,9 +33,28 @@ def terms_for(mean: float) -> int:
     return int(mean + 12 * math.sqrt(mean) + 40)
 
 
+def large_cdf(mean: float) -> tuple[int, np.ndarray]:
+    """k0, and P(X <= k) for k = k0, k0 + 1, ...; below k0 the chance is less than 2**-60. The terms are taken
+    from the mode outwards, relative to it."""
+    mode, first = int(mean), max(0, int(mean - 12 * math.sqrt(mean) - 40))
+    up = np.cumprod(mean / np.arange(mode + 1, terms_for(mean) + 1))
+    down = np.cumprod(np.arange(mode, first, -1) / mean)
+    p = np.concatenate((down[::-1], [1.0], up))
+    return first, np.cumsum(p / p.sum())
+
+
+def _large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i, m in enumerate(b.column("rate").to_pylist()):
+            first, cdf = large_cdf(m)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1) for c in ("_tm_source", "rate")), pa.array([first], pa.int64()), pa.array([cdf], pa.list_(pa.float64()))], names=["_tm_source", "rate", "_tm_first", "cdf"])
+
+
 def cdfs(rates: DataFrame) -> DataFrame:
-    """source, rate -> source, rate, cdf: P(X <= k) for k = 0, 1, ..., once a source."""
-    terms = terms_for(rates.agg(F.max("rate")).first()[0] or 0.0)
+    """_tm_source, rate -> _tm_source, rate, _tm_first, cdf: P(X <= k) for k = _tm_first, _tm_first + 1, ..., once a source."""
+    top = rates.agg(F.max("rate")).first()[0] or 0.0
+    small = rates.select("_tm_source", "rate", F.lit(0).cast("long").alias("_tm_first")).filter(F.col("rate") <= DIRECT)
+    terms = terms_for(min(top, DIRECT))
     m = F.col("rate")
     p0 = F.exp(-m)
     grow = F.aggregate(
@@ -39,14 +63,17 @@ def cdfs(rates: DataFrame) -> DataFrame:
         lambda a, k: F.struct((a["p"] * m / k).alias("p"), F.concat(a["cdf"], F.array(F.element_at(a["cdf"], -1) + a["p"] * m / k)).alias("cdf")),
         lambda a: a["cdf"],
     )
-    return rates.withColumn("cdf", grow)
+    small = small.withColumn("cdf", grow)
+    if top <= DIRECT:
+        return small
+    return small.union(rates.select("_tm_source", "rate").filter(F.col("rate") > DIRECT).mapInArrow(_large, "_tm_source string, rate double, _tm_first long, cdf array<double>"))
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None, total: float = 1.0) -> DataFrame:
     """source, bytes, rate. Without weights every source gets the square root of its share.
 
     rate = total * all bytes * weight / sum of weights / own bytes; a source without bytes, or without
-    a weight where weights are given, has rate 0. Rates are capped at 700 repetitions.
+    a weight where weights are given, has rate 0.
     """
     own = docs.groupBy("_tm_source").agg(F.sum("_tm_bytes").alias("bytes"))
     if weights is None:
@@ -57,7 +84,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None, total: float = 1.0)
             w = F.when(F.col("_tm_source") == F.lit(k), F.lit(float(v))).otherwise(w)
     own = cut(own.withColumn("w", w))
     s = own.agg(F.sum("bytes").cast("double").alias("b"), F.sum(F.when(F.col("bytes") > 0, F.col("w"))).alias("w")).first()
-    rate = F.when((F.col("bytes") > 0) & (F.lit(s["w"] or 0.0) > 0), F.least(F.lit(700.0), F.lit(total) * F.lit(s["b"] or 0.0) * F.col("w") / F.lit(s["w"] or 1.0) / F.col("bytes"))).otherwise(0.0)
+    rate = F.when((F.col("bytes") > 0) & (F.lit(s["w"] or 0.0) > 0), F.lit(total) * F.lit(s["b"] or 0.0) * F.col("w") / F.lit(s["w"] or 1.0) / F.col("bytes")).otherwise(0.0)
     return cut(own.select("_tm_source", "bytes", rate.alias("rate")))
 
 
@@ -69,7 +96,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total:
     seed, doc_id and the text's length, so repeated rows repeat equally often. A null source is a source
     of its own (weights can't name it: rate 0 under given weights). Null and empty texts have 0 bytes:
     they count at their source's rate; a source with no bytes at all has rate 0. An empty table gives no
-    rows. Up to most_sources sources the rates are broadcast (about 1 KB each); beyond, they are joined
+    rows. Up to most_sources sources (or as many KB of distributions) the rates are broadcast; beyond, they are joined
     on source and a salt of 64, since one source can hold most rows.
     """
     names = docs.columns
@@ -79,15 +106,16 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total:
     d = d.withColumn("_tm_bytes", F.coalesce(F.octet_length(col("text")), F.lit(0)).cast("long"))
     if weights is not None:
         weights = {f"={k}": v for k, v in weights.items()}
-    r = cut(cdfs(rates(d, weights, total)).select("_tm_source", "cdf"))
-    if r.count() <= most_sources:
+    r = cut(cdfs(rates(d, weights, total)).select("_tm_source", "_tm_first", "cdf"))
+    n, terms = r.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("cdf")), F.lit(0))).first()
+    if n <= most_sources and terms <= 128 * most_sources:
         d = d.join(F.broadcast(r), "_tm_source")
     else:
         d = d.withColumn("_tm_salt", F.pmod(F.xxhash64(col("doc_id")), F.lit(64)).cast("int"))
         d = d.join(r.withColumn("_tm_salt", F.explode(F.sequence(F.lit(0), F.lit(63)))), ["_tm_source", "_tm_salt"])
     ident = F.coalesce(col("doc_id").cast("string"), F.lit(""))
     u = uniform(F.lit(seed), ident, F.col("_tm_bytes").cast("string"))
-    d = d.withColumn("_tm_u", u).withColumn("_tm_n", F.size(F.filter("cdf", lambda c: F.col("_tm_u") >= c)))
+    d = d.withColumn("_tm_u", u).withColumn("_tm_n", (F.col("_tm_first") + F.size(F.filter("cdf", lambda c: F.col("_tm_u") >= c))).cast("int"))
     d = d.filter("_tm_n > 0").withColumn("_tm_copy", F.explode(F.sequence(F.lit(0), F.col("_tm_n") - 1)))
     d = d.withColumn("_tm_key", uniform(F.lit(seed + "/order"), ident, F.col("_tm_bytes").cast("string"), F.col("_tm_copy").cast("string")))
     d = d.repartition(F.col("_tm_key")).sortWithinPartitions("_tm_key")
