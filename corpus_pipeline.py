@@ -11,15 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import langid, mixing, packing, secretscan, simhash
-from tidemark.llm.common import fresh_dir, table
+from tidemark.llm.common import fresh_dir, narrow, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letters, or that lie mainly in a language without labelled documents."""
+    """Documents go that have no letters, or that lie mainly in a language without labelled documents (where
+    there are no labels, in one that the model can't name) or in Latin letters too unlike the labelled documents."""
     model = langid.train(docs)
-    return langid.keep_known(docs, model, model.langs)
+    named = [r[0] for r in narrow(docs, "lang").filter("lang is not null").distinct().collect()]  # a row a language
+    named = [x for x in named if x in model.states]
+    return langid.keep_known(docs, model, named or None, least=langid.least_scores(docs, model))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -221,6 +221,20 @@ def test_language_accuracy(spark):
     assert [r["lang"] for r in e] == ["en", "de"]
 
 
+def test_language_stage_decides(spark):
+    """Labelled documents stay in every script; letter junk and untrained Latin languages go."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    greek = "Ελληνικά κείμενα για τη δοκιμή"
+    rows = [(50_001, "xqzv kjhw pqrt zxcv bnmk wqxz", None, "a", 1), (50_002, "to jest przykład tekstu po polsku który nie należy do zbioru danych", None, "a", 1), (50_003, greek, "el", "a", 1), (50_004, "Русский текст без пометки", None, "a", 1)]
+    both = d.union(spark.createDataFrame(rows, d.schema))
+    got = {r[0] for r in corpus_pipeline.language_id(spark, both, SF).select("doc_id").collect()}
+    assert {x for x in got if x > 50_000} == {50_003}
+    lettered = {r[0] for r in d.filter(F.col("text").rlike("[A-Za-z]")).select("doc_id").collect()}
+    assert len(lettered - got) <= 0.002 * len(lettered)
+    bare = docs(spark, [(1, greek, None, "a", 1), (2, "plain text", None, "a", 1), (3, "...", None, "a", 1)])
+    assert {r[0] for r in corpus_pipeline.language_id(spark, bare, SF).collect()} == {1, 2}
+
+
 def test_quality_held_out(spark):
     from tidemark.llm.common import table
 

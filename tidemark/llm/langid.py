@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import narrow
-from tidemark.llm.textvec import chunks, spans
+from tidemark.llm.textvec import chunks, mix, spans
 
 #: Scripts other than Latin: the first and last code point, and the language that a word in it has.
 SCRIPTS = [
@@ -146,18 +146,24 @@ def viterbi(score: np.ndarray, first: np.ndarray, n: np.ndarray, penalty: float)
     return label
 
 
-def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5) -> Model:
-    """Trigram tables of the languages in docs.lang, from per_lang documents of each (the bound), those
-    with the least hash of doc_id. Null languages, and languages of other scripts, aren't trained."""
+def _sample(docs: DataFrame, per_lang: int) -> tuple[DataFrame | None, list[str]]:
+    """The documents to train on, and their languages."""
     d = narrow(docs, "doc_id", "text", "lang").filter("lang is not null and text is not null and doc_id is not null")
     d = d.filter(~F.col("lang").isin([*OTHER, UNKNOWN]))
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = d.select("lang", "doc_id").withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= per_lang).select("doc_id", "lang")
     few = ids.collect()  # at most per_lang a language
     if not few:
+        return None, []
+    return d.filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in few}))), sorted({r["lang"] for r in few})
+
+
+def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5) -> Model:
+    """Trigram tables of the languages in docs.lang, from per_lang documents of each (the bound), those
+    with the least hash of doc_id. Null languages, and languages of other scripts, aren't trained."""
+    near, langs = _sample(docs, per_lang)
+    if near is None:
         return Model([], np.zeros((SLOTS, 0), np.float32))
-    langs = sorted({r["lang"] for r in few})
-    near = d.filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in few})))
     places = {x: k for k, x in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +186,40 @@ def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5) -> Model:
     return Model(langs, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
+def least_scores(docs: DataFrame, model: Model, per_lang: int = 400) -> np.ndarray:
+    """For each state the least mean score a letter of a span in that language: halfway between the training
+    documents' own score and that of the same documents with their letters in another order. Scripts with one
+    language have no least score."""
+    least = np.full(len(model.states), -np.inf)
+    near, langs = _sample(docs, per_lang)
+    if near is None:
+        return least
+    places = {x: k for k, x in enumerate(model.langs)}
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(model.langs), 3))
+        for b in batches:
+            own = np.array([places[x] for x in b.column("lang").to_pylist()])
+            for lo, hi, data, offs in chunks(b.column("text")):
+                cp, at = letters(data, offs)
+                s, e, row = spans(kinds()[cp] == 1, at)
+                if len(s):
+                    k = own[lo:hi][row]
+                    pos = np.flatnonzero(kinds()[cp] == 1)
+                    r = np.repeat(row, e - s)
+                    mixed = cp.copy()
+                    mixed[pos] = cp[pos[np.lexsort((mix((pos - at[r]).astype(np.uint64)), r))]]
+                    for j, c in enumerate((cp, mixed)):
+                        total[:, j] += np.bincount(k, model.word_scores(c, s, e)[np.arange(len(s)), k], minlength=len(total))
+                    total[:, 2] += np.bincount(k, e - s, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), *(pa.array(total[:, j]) for j in range(3))], names=["k", "own", "other", "n"])
+
+    for r in near.mapInArrow(score, "k int, own double, other double, n double").groupBy("k").agg(F.sum("own"), F.sum("other"), F.sum("n")).collect():  # a row a language
+        if r[3]:
+            least[r[0]] = round((r[1] + r[2]) / 2 / r[3], 3)
+    return least
+
+
 def label_batch(model: Model, col, penalty: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For runs of rows: first row, row after the last, word starts and ends, rows, labels, scores, code points."""
     for lo, hi, data, offs in chunks(col):
@@ -237,19 +277,25 @@ def identify(docs: DataFrame, penalty: float = 12.0, per_lang: int = 400) -> Dat
     return spans_of(docs, train(docs, per_lang), penalty)
 
 
-def keep_known(docs: DataFrame, model: Model | None = None, languages: list[str] | None = None, least_share: float = 0.5, penalty: float = 12.0) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model | None = None, languages: list[str] | None = None, least_share: float = 0.5, penalty: float = 12.0, least: np.ndarray | None = None) -> DataFrame:
     """docs, all columns as they were, whose letters lie at least to least_share in spans of the
     languages (all that the model can name, if none are given). Rejected are texts that have no letters
-    (empty and null ones with them) and texts mainly in other languages."""
+    (empty and null ones with them) and texts mainly in other languages, or in spans whose mean score a
+    letter is below the state's in least."""
     model = model or train(docs)
     good = np.array([languages is None or x in languages for x in model.states])
 
     @F.arrow_udf("boolean")
     def known(col: pa.Array) -> pa.Array:
         out = np.zeros(len(col), bool)
-        for lo, hi, s, e, row, lab, _, _ in label_batch(model, col, penalty):
+        for lo, hi, s, e, row, lab, score, _ in label_batch(model, col, penalty):
+            ok = good[lab]
+            if least is not None and len(row):
+                new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (lab[1:] != lab[:-1]))))
+                mean = np.add.reduceat(score[np.arange(len(row)), lab].astype(np.float64), new) / np.add.reduceat(e - s, new)
+                ok = ok & np.repeat(mean >= least[lab[new]], np.diff(np.append(new, len(row))))
             every = np.bincount(row, e - s, minlength=hi - lo)
-            ours = np.bincount(row, (e - s) * good[lab], minlength=hi - lo)
+            ours = np.bincount(row, (e - s) * ok, minlength=hi - lo)
             out[lo:hi] = (every > 0) & (ours >= least_share * every)
         return pa.array(out)
 
