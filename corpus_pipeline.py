@@ -53,7 +53,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", pack),
 ]
 
-#: The language model, fingerprints and token tests have no SQL; tests/llm holds brute-force versions.
+#: The language model, fingerprints and token tests have no SQL; tests/llm runs the stages again and tests planted cases.
 ORACLE_SQL: str | None = None
 
 
