@@ -104,13 +104,6 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, hashes(lower[data], s, e)
 
 
-def hash_words(ws: list[str]) -> np.ndarray:
-    """The same hash for words given one by one."""
-    row, h = words(*utf8(pa.array(ws, pa.string())))
-    assert len(h) == len(ws), "each must be one word"
-    return h
-
-
 def counts(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, low 48 bits of the hash) with how often each occurs, by row. Rows under 65536."""
     key = np.sort((row.astype(np.uint64) << np.uint64(48)) | (h & np.uint64((1 << 48) - 1)))
