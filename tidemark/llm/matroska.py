@@ -21,7 +21,8 @@ EBML, SEGMENT, INFO, SCALE, TRACKS, ENTRY, NUMBER, CODEC, DEFAULT = 0x1A45DFA3,
 CLUSTER, TIME, SIMPLE, GROUP, BLOCK, DURATION, REFERENCE = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0x9B, 0xFB
 CUES, POINT, CUE_TIME, POSITIONS, CUE_TRACK, CUE_CLUSTER, CUE_RELATIVE = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1, 0xF0
 #: Elements that end a Cluster or a Segment of unknown size.
-TOP = {CLUSTER, CUES, INFO, TRACKS, 0x114D9B74, 0x1254C367, 0x1941A469, 0x1043A770}
+TOP = {CLUSTER, CUES, INFO, TRACKS, EBML, SEGMENT, 0x114D9B74, 0x1254C367, 0x1941A469, 0x1043A770}
+CLUSTER_ID = CLUSTER.to_bytes(4)
 LACINGS = ("none", "xiph", "fixed", "ebml")
 
 
@@ -111,23 +112,19 @@ def frames(b, at: int, end: int, lacing: int) -> list[tuple[int, int]]:
     return out
 
 
-def parse(b: bytes | None) -> tuple[str, list[list]]:
-    """State and packets: [track, codec, cluster, block, lace, lacing, timestamp_ns, duration_ns, keyframe, cued, start, size].
+class _Segment:
+    """One Segment's own timestamp scale, tracks, cues and packets. Damage is noted, and reading goes on at the
+    next Cluster."""
 
-    State: 'ok'; 'empty' (null or no bytes); 'not matroska'; 'damaged' (what was whole before the damage is given).
-    """
-    if not b:
-        return "empty", []
-    if b[:4] != EBML.to_bytes(4):
-        return "not matroska", []
-    out: list[list] = []
-    place: dict[tuple[int, int], int] = {}  # (cluster, block) positions -> first packet of the block
-    scale, tracks, cues = 1_000_000, {}, []
-    state, cluster, block = "ok", -1, -1
-    rel: list[tuple[int | None, int | None]] = []  # timestamp and block duration in ticks; scale may come later
+    def __init__(self, b, cluster: int, block: int) -> None:
+        self.b, self.cluster, self.block, self.damaged = b, cluster, block, False
+        self.out: list[list] = []
+        self.rel: list[tuple[int | None, int | None]] = []  # timestamp and block duration in ticks; the scale may come later
+        self.place: dict[tuple[int, int], int] = {}  # (cluster, block) positions -> first packet of the block
+        self.scale, self.tracks, self.cues = 1_000_000, {}, []
 
-    def one_block(p: int, end: int, key: bool | None, duration: int | None, where: tuple[int, int], base: int) -> None:
-        nonlocal block
+    def add(self, p: int, end: int, key: bool | None, duration: int | None, where: tuple[int, int], base: int) -> None:
+        b = self.b
         track, q = vint(b, p, end)
         if q + 3 > end:
             raise Broken
@@ -135,66 +132,120 @@ def parse(b: bytes | None) -> tuple[str, list[list]]:
         flags = b[q + 2]
         lacing = flags >> 1 & 3
         parts = frames(b, q + 3, end, lacing)
-        block += 1
-        place[where] = len(out)
+        self.block += 1
+        self.place[where] = len(self.out)
         for i, (s, n) in enumerate(parts):
-            out.append([track, None, cluster, block, i, LACINGS[lacing], len(parts), None, bool(flags & 128) if key is None else key, False, s, n])
-            rel.append((ticks, duration))
-
-    def segment(p: int, end: int) -> None:
-        nonlocal scale, cluster
-        start = p
-        for name, at, p, stop in elements(b, p, end):
-            if name == INFO:
-                for x, _, lo, hi in elements(b, p, stop):
-                    if x == SCALE:
-                        scale = uint(b, lo, hi) or scale
-            elif name == TRACKS:
-                for x, _, lo, hi in elements(b, p, stop):
-                    if x == ENTRY:
-                        own = {n: (f, t) for n, _, f, t in elements(b, lo, hi)}
-                        if NUMBER in own:
-                            codec = bytes(b[slice(*own[CODEC])]).decode("ascii", "replace") if CODEC in own else None
-                            tracks[uint(b, *own[NUMBER])] = codec, uint(b, *own[DEFAULT]) if DEFAULT in own else None
-            elif name == CLUSTER:
-                cluster, base = cluster + 1, 0
-                for x, q, lo, hi in elements(b, p, stop):
-                    if x == TIME:
-                        base = uint(b, lo, hi)
-                    elif x == SIMPLE:
-                        one_block(lo, hi, None, None, (at - start, q - p), base)
-                    elif x == GROUP:
-                        own = {n: (f, t) for n, _, f, t in elements(b, lo, hi)}
-                        if BLOCK in own:
-                            one_block(*own[BLOCK], REFERENCE not in own, uint(b, *own[DURATION]) if DURATION in own else None, (at - start, q - p), base)
-            elif name == CUES:
-                for x, _, lo, hi in elements(b, p, stop):
-                    if x == POINT:
-                        time = 0
-                        for y, _, f, t in elements(b, lo, hi):
-                            if y == CUE_TIME:
-                                time = uint(b, f, t)
-                            elif y == POSITIONS:
-                                own = {n: uint(b, u, v) for n, _, u, v in elements(b, f, t)}
-                                cues.append((time, own.get(CUE_TRACK), own.get(CUE_CLUSTER), own.get(CUE_RELATIVE)))
+            self.out.append([track, None, self.cluster, self.block, i, LACINGS[lacing], len(parts), None, bool(flags & 128) if key is None else key, False, s, n])
+            self.rel.append((ticks, duration))
+
+    def head(self, name: int, p: int, stop: int) -> None:
+        """Info, Tracks or Cues."""
+        b = self.b
+        for x, _, lo, hi in elements(b, p, stop):
+            if name == INFO and x == SCALE:
+                self.scale = uint(b, lo, hi) or self.scale
+            elif name == TRACKS and x == ENTRY:
+                own = {n: (f, t) for n, _, f, t in elements(b, lo, hi)}
+                if NUMBER in own:
+                    codec = bytes(b[slice(*own[CODEC])]).decode("ascii", "replace") if CODEC in own else None
+                    self.tracks[uint(b, *own[NUMBER])] = codec, uint(b, *own[DEFAULT]) if DEFAULT in own else None
+            elif name == CUES and x == POINT:
+                time = 0
+                for y, _, f, t in elements(b, lo, hi):
+                    if y == CUE_TIME:
+                        time = uint(b, f, t)
+                    elif y == POSITIONS:
+                        own = {n: uint(b, u, v) for n, _, u, v in elements(b, f, t)}
+                        self.cues.append((time, own.get(CUE_TRACK), own.get(CUE_CLUSTER), own.get(CUE_RELATIVE)))
+
+    def blocks(self, at: int, p: int, stop: int) -> int:
+        """A Cluster's packets; where it ends. at: its place in the Segment's data."""
+        b, base, done = self.b, 0, p
+        self.cluster += 1
+        try:
+            for x, q, lo, hi in elements(b, p, stop, TOP):
+                if x == TIME:
+                    base = uint(b, lo, hi)
+                elif x == SIMPLE:
+                    self.add(lo, hi, None, None, (at, q - p), base)
+                elif x == GROUP:
+                    own = {n: (f, t) for n, _, f, t in elements(b, lo, hi)}
+                    if BLOCK in own:
+                        self.add(*own[BLOCK], REFERENCE not in own, uint(b, *own[DURATION]) if DURATION in own else None, (at, q - p), base)
+                done = hi
+        except Broken:
+            self.damaged = True
+            again = bytes(b[done + 1 : stop]).find(CLUSTER_ID)
+            return stop if again < 0 else done + 1 + again
+        self.damaged |= done < stop  # a Segment's own element inside: the Cluster's size was wrong
+        return done
+
+    def read(self, p: int, end: int, open_end: bool) -> int:
+        """The Segment's elements; where it ends."""
+        b, start = self.b, p
+        while p < end:
+            at = p
+            try:
+                for name, at, lo, stop in elements(b, p, end, {EBML, SEGMENT} if open_end else frozenset()):
+                    p = stop
+                    if name == CLUSTER:
+                        p = self.blocks(at - start, lo, stop)
+                        if p != stop:
+                            break
+                    elif name in (INFO, TRACKS, CUES):
+                        self.head(name, lo, stop)
+                else:
+                    return p
+            except Broken:
+                self.damaged = True
+                p = max(p, at + 1)
+                again = bytes(b[p:end]).find(CLUSTER_ID)
+                if again < 0:
+                    return end
+                p += again
+        return p
+
+    def packets(self) -> list[list]:
+        first = {(pos, self.out[k][0], self.rel[k][0]): k for (pos, _), k in reversed(self.place.items())}
+        for time, track, pos, inside in self.cues:
+            k = self.place.get((pos, inside)) if inside is not None else first.get((pos, track, time))
+            if k is not None:
+                self.out[k][9] = True
+        for x, (ticks, duration) in zip(self.out, self.rel, strict=True):
+            x[1], step = self.tracks.get(x[0], (None, None))
+            each = step if step else duration * self.scale // x[6] if duration is not None else None
+            x[6] = ticks * self.scale + x[4] * each if x[4] and each is not None else None if x[4] else ticks * self.scale
+            x[7] = each
+        return self.out
 
+
+def parse(b: bytes | None) -> tuple[str, list[list]]:
+    """State and packets: [track, codec, cluster, block, lace, lacing, timestamp_ns, duration_ns, keyframe, cued, start, size].
+
+    State: 'ok'; 'empty' (null or no bytes); 'not matroska'; 'damaged' (what is whole before the damage and in
+    later clusters is given). Chained Segments are read one after the other; clusters and blocks count on.
+    """
+    if not b:
+        return "empty", []
+    if b[:4] != EBML.to_bytes(4):
+        return "not matroska", []
+    out: list[list] = []
+    damaged, at, cluster, block = False, 0, -1, -1
     try:
-        for name, _, p, stop in elements(b, 0, len(b)):
+        while at < len(b):
+            name, p = vint(b, at, len(b), True)
+            size, p = vint(b, p, len(b))
+            stop = len(b) if size is None else p + size
+            damaged |= stop > len(b)
             if name == SEGMENT:
-                segment(p, stop)
+                one = _Segment(b, cluster, block)
+                stop = one.read(p, min(stop, len(b)), size is None) if size is None else (one.read(p, min(stop, len(b)), False), stop)[1]
+                out += one.packets()
+                damaged, cluster, block = damaged | one.damaged, one.cluster, one.block
+            at = stop
     except Broken:
-        state = "damaged"
-    first = {(pos, out[k][0], rel[k][0]): k for (pos, _), k in reversed(place.items())}
-    for time, track, pos, inside in cues:
-        k = place.get((pos, inside)) if inside is not None else first.get((pos, track, time))
-        if k is not None:
-            out[k][9] = True
-    for x, (ticks, duration) in zip(out, rel, strict=True):
-        x[1], step = tracks.get(x[0], (None, None))
-        each = step if step else duration * scale // x[6] if duration is not None else None
-        x[6] = ticks * scale + x[4] * each if x[4] and each is not None else None if x[4] else ticks * scale
-        x[7] = each
-    return state, out
+        damaged = True
+    return "damaged" if damaged else "ok", out
 
 
 NAMES = ["track", "codec", "cluster", "block", "lace", "lacing", "timestamp_ns", "duration_ns", "keyframe", "cued", "start", "size"]
@@ -207,7 +258,8 @@ def packets(media: DataFrame, id_col: str = "doc_id", media_col: str = "media")
 
     start and size are the frame's byte range in the file, crc32 its checksum. A file without a frame (null,
     empty, not Matroska, damaged before its first frame) has one row that is null but for doc_id and state.
-    A damaged file gives the frames before the damage. A laced frame after the first has no timestamp
+    A damaged file gives the frames before the damage and those of later clusters. Very long files are read
+    whole, one at a time; their payloads aren't copied. A laced frame after the first has no timestamp
     where neither the track nor the block says how long a frame is. Frames of unknown tracks have a null
     codec. Repeated rows give repeated packets. Other columns are ignored. An empty table gives no rows.
     """
@@ -312,7 +364,9 @@ def text_file(number: int, text: bytes, frame: int = 2048) -> bytes:
 
 
 def with_media(docs: DataFrame) -> DataFrame:
-    """doc_id, media: each text's bytes in a file of its own. A null text has null media."""
+    """doc_id, media: each text's bytes in a file of its own, one row for each row of docs. A null text has null
+    media, an empty one a file without frames. Repeated rows and null doc_ids (numbered 0) keep their rows. Very
+    long texts make one file each. Other columns are ignored. An empty table gives no rows."""
 
     @F.arrow_udf("binary")
     def made(ids: pa.Array, col: pa.Array) -> pa.Array:
