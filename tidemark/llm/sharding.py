@@ -3,7 +3,8 @@
 One global packing, not one a partition: groups are aggregated where they lie, the (size, count)
 histogram goes to a single task that packs it exactly (binpack.best_fit_decreasing; its input follows
 the number of distinct sizes, at most the capacity), and the plan comes back to the groups as a join on
-(size, rank). Ranks are counted in salted parts of each size, so a frequent size doesn't meet in one task.
+(size, block of ranks). Ranks are counted in salted parts of each size and a block has BLOCK ranks at most, so a
+frequent size doesn't meet in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from tidemark.llm.binpack import best_fit_decreasing
 from tidemark.llm.common import cut, narrow
 
 PLAN = "part long, size long, lo long, hi long, first long, per_bin long"
+BLOCK = 1 << 16
 
 
 def plan_of(capacity: int):
@@ -44,6 +46,15 @@ def ranked(items: DataFrame, keys: list[str], order: str, salts: int = 64) -> Da
     return salted.withColumn("rank", F.row_number().over(within) - 1).join(base, [*keys, "salt"]).withColumn("rank", F.col("rank") + F.col("base")).drop("salt", "base")
 
 
+def placed(items: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
+    """items (with rank) with first, per_bin and lo of the plan's row of their keys that holds their rank. Both
+    sides meet on a block of ranks as well as on the keys."""
+    p = plan.select(*[F.col(k).alias("_p" + k) for k in keys], "lo", "hi", "first", "per_bin")
+    p = p.withColumn("_pblock", F.explode(F.sequence(F.floor(F.col("lo") / BLOCK), F.floor((F.col("hi") - 1) / BLOCK))))
+    on = [F.col(k) == F.col("_p" + k) for k in keys] + [F.floor(F.col("rank") / BLOCK) == F.col("_pblock"), F.col("rank") >= F.col("lo"), F.col("rank") < F.col("hi")]
+    return items.join(p, on).drop("_pblock", *["_p" + k for k in keys])
+
+
 def shard_groups(groups: DataFrame, capacity: int) -> DataFrame:
     """(group_key, size) rows, group_key unique and not null -> group_key, size, shard_id, oversized.
 
@@ -56,7 +67,7 @@ def shard_groups(groups: DataFrame, capacity: int) -> DataFrame:
     hist = g.groupBy("size").agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).cast("long").alias("part"), "size", "n")
     plan = hist.repartition(1).mapInPandas(plan_of(capacity), PLAN).drop("part")
     r = ranked(g, ["size"], "group_key")
-    hit = r.join(plan.withColumnRenamed("size", "psize"), (F.col("size") == F.col("psize")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+    hit = placed(r, plan, ["size"])
     return hit.select("group_key", "size", (F.col("first") + F.floor((F.col("rank") - F.col("lo")) / F.col("per_bin"))).cast("long").alias("shard_id"), (F.col("size") > capacity).alias("oversized"))
 
 
@@ -67,7 +78,7 @@ def shard_documents(docs: DataFrame, capacity: int = 8 << 20) -> DataFrame:
     A group is a text's copies (its MD5 is the key; "" is a text, of size 0); its size is the bytes of
     all its copies. A null text is a group of its own, of size 0, keyed by doc_id; rows with null text
     and the same doc_id (null included) are one group. Repeated rows count as copies. Other columns are
-    ignored. An empty table gives no rows.
+    ignored. Very long texts are one group each, by length alone. An empty table gives no rows.
     """
     d = narrow(docs, "doc_id", "text").select(
         "doc_id",
