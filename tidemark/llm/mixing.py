@@ -93,7 +93,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total:
 
     Adds copy_no (from 0) and shuffle_key (the uniform number that orders the copies), unless
     keep_order_columns is false; columns of docs by these names give way. The count is hashed from the
-    seed, doc_id and the text's length, so repeated rows repeat equally often. A null source is a source
+    seed, doc_id (or, where it is null, the text) and the text's length, so repeated rows repeat equally often. Ties in the order
+    (repeated rows) are in any order. Very long texts are only measured and copied. A null source is a source
     of its own (weights can't name it: rate 0 under given weights). Null and empty texts have 0 bytes:
     they count at their source's rate; a source with no bytes at all has rate 0. An empty table gives no
     rows. Up to most_sources sources (or as many KB of distributions) the rates are broadcast; beyond, they are joined
@@ -113,7 +114,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total:
     else:
         d = d.withColumn("_tm_salt", F.pmod(F.xxhash64(col("doc_id")), F.lit(64)).cast("int"))
         d = d.join(r.withColumn("_tm_salt", F.explode(F.sequence(F.lit(0), F.lit(63)))), ["_tm_source", "_tm_salt"])
-    ident = F.coalesce(col("doc_id").cast("string"), F.lit(""))
+    ident = F.coalesce(col("doc_id").cast("string"), F.concat(F.lit("="), F.md5(F.coalesce(col("text"), F.lit("")).cast("binary"))))
     u = uniform(F.lit(seed), ident, F.col("_tm_bytes").cast("string"))
     d = d.withColumn("_tm_u", u).withColumn("_tm_n", (F.col("_tm_first") + F.size(F.filter("cdf", lambda c: F.col("_tm_u") >= c))).cast("int"))
     d = d.filter("_tm_n > 0").withColumn("_tm_copy", F.explode(F.sequence(F.lit(0), F.col("_tm_n") - 1)))
@@ -128,12 +129,12 @@ WITH d AS (SELECT *, strlen(text) AS b FROM documents),
 own AS (SELECT source, sum(b)::BIGINT AS bytes FROM d GROUP BY source),
 tot AS (SELECT sum(bytes)::DOUBLE AS tb, sum(sqrt(bytes::DOUBLE)) AS tw FROM own),
 rate AS (SELECT source, tb * sqrt(bytes::DOUBLE) / tw / bytes AS rate FROM own, tot),
-terms AS (SELECT source, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM rate, range(0, 60) t(k)),
+terms AS (SELECT source, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p FROM rate, (SELECT unnest(range(0, (SELECT max(rate) + 12 * sqrt(max(rate)) + 40 FROM rate)::BIGINT)) AS k)),
 cdf AS (SELECT source, list(c ORDER BY k) AS cdf FROM (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms) GROUP BY source),
-u AS (SELECT d.*, ('0x' || substr(md5('mix-1|' || doc_id || '|' || b), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0 AS u FROM d),
+u AS (SELECT d.*, ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '=' || md5(coalesce(text, ''))) || '|' || b), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0 AS u FROM d),
 n AS (SELECT u.*, len(list_filter(cdf, lambda c: u.u >= c)) AS n FROM u JOIN cdf USING (source)),
 x AS (SELECT *, unnest(range(0, n)) AS copy_no FROM n)
 SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no,
-  ('0x' || substr(md5('mix-1/order|' || doc_id || '|' || b || '|' || copy_no), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0 AS shuffle_key
+  ('0x' || substr(md5('mix-1/order|' || coalesce(doc_id::VARCHAR, '=' || md5(coalesce(text, ''))) || '|' || b || '|' || copy_no), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0 AS shuffle_key
 FROM x
 """
