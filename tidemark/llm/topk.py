@@ -25,7 +25,6 @@ from tidemark.llm.common import cut, narrow
 from tidemark.llm.textvec import chunks, counts, words
 
 K1, B = 1.2, 0.75
-LOW48 = np.uint64((1 << 48) - 1)
 
 
 def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,24 +84,28 @@ def best(lists: list[tuple[np.ndarray, np.ndarray]], n: int, order: np.ndarray,
     lists: (documents, impacts) with impacts falling, above 0. Documents are numbers under n. Documents in no list
     aren't results. Reading proceeds in blocks that double, from step on.
     """
-    lower, seen = np.zeros(n, np.int64), np.zeros((n, len(lists)), np.float64)
+    lower = np.zeros(n, np.int64)
     depth = 0
     live: np.ndarray | None = None  # once outsiders are shut out: who is left
     deepest = max((len(d) for d, _ in lists), default=0)
     while True:
         to = depth + step
-        for j, (d, w) in enumerate(lists):
+        for d, w in lists:
             if depth < len(d):
                 lower[d[depth:to]] += w[depth:to]
-                seen[d[depth:to], j] = 1
         depth, step = to, to
-        last = np.array([float(w[depth - 1]) if depth < len(w) else 0.0 for _, w in lists])
+        last = np.array([int(w[depth - 1]) if depth < len(w) else 0 for _, w in lists], np.int64)
         met = np.flatnonzero(lower) if live is None else live
         if len(met) >= k or not last.any():
             own = lower[met]
             kth = int(np.partition(own, len(own) - k)[len(own) - k]) if len(own) >= k else 0
-            upper = own + (last.sum() - seen[met] @ last)
             if last.sum() < kth or not last.any():
+                # what lists already read of a document can't add; the prefixes double, so this reads each list twice at most
+                unread = np.full(n, last.sum())
+                for (d, _), x in zip(lists, last, strict=True):
+                    if x:
+                        unread[d[:depth]] -= x
+                upper = own + unread[met]
                 live = met[upper >= kth]  # an equal bound can still win by order
                 if depth >= deepest or (len(live) <= k and (upper[upper >= kth] == lower[live]).all()):
                     break
@@ -150,32 +153,49 @@ def _search(queries: list[tuple[int, np.ndarray]], idf: np.ndarray, mean: float,
     return run
 
 
-def search(queries: DataFrame, docs: DataFrame, k: int = 10, block: int = 20_000, id_col: str = "item_id") -> DataFrame:
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(distinct_words(b.column("text"))[1]).view(np.int64))], names=["word"])
+
+
+def search(queries: DataFrame, docs: DataFrame, k: int = 10, block: int = 20_000, id_col: str = "item_id", most_words: int = 8_000_000) -> DataFrame:
     """item_id, rank (from 1), doc_id, score: the k best documents of every query, exactly.
 
     Ties in score go to the lower doc_id; null doc_ids come last. Documents with score 0 aren't results, so a
     query whose words are nowhere (a null, empty or wordless one with them) has no rows. Repeated queries
     each have their rows; repeated documents are results each. Null texts count as empty documents. Other
-    columns are ignored. Empty tables give no rows. Queries are taken in blocks of about `block`, whose
-    words travel to the tasks (some MB); each block reads the documents once.
+    columns are ignored. Empty tables give no rows. Very long texts and queries count whole: a task's memory follows its
+    documents' and the query's words one by one, not their product. The documents are indexed once, for the distinct words of all queries,
+    which travel to the tasks (8 bytes a word); only where these are more than most_words each block of about `block` queries has an index of
+    its own, with the same results.
     """
     q = narrow(queries, id_col, "text")
     blocks = max(1, -(-q.count() // block))
-    out = None
     d = narrow(docs, "doc_id", "text")
-    for i in range(blocks):
-        own = q.filter(F.pmod(F.xxhash64(id_col, "text"), F.lit(blocks)) == i).orderBy(id_col, "text").toArrow()
-        row, key = distinct_words(own.column("text"))
-        vocab, term = np.unique(key, return_inverse=True)
-        ids = own.column(id_col).to_pylist()
-        asked = [(n, term[row == n]) for n in np.unique(row).tolist()]
+
+    def index_for(vocab: np.ndarray) -> tuple[DataFrame, np.ndarray, float]:
         index = cut(d.mapInArrow(_index(vocab), "doc_id long, length long, terms array<int>, tfs array<int>"))
-        stats = index.mapInArrow(_statistics(len(vocab)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term")["n"]  # a row a word of the block
+        stats = index.mapInArrow(_statistics(len(vocab)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas().set_index("term")["n"]  # a row a word
         total = int(stats.get(-1, 0))
-        mean = max(1.0, float(stats.get(-2, 0)) / max(1, total))
         df = np.zeros(len(vocab))
         df[stats.index[stats.index >= 0]] = stats[stats.index >= 0]
-        idf = np.log(1.0 + (total - df + 0.5) / (df + 0.5))
+        return index, np.log(1.0 + (total - df + 0.5) / (df + 0.5)), max(1.0, float(stats.get(-2, 0)) / max(1, total))
+
+    shared = None
+    if blocks > 1:
+        all_words = cut(q.mapInArrow(_words, "word long").distinct())
+        if all_words.count() <= most_words:
+            vocab = np.sort(all_words.toArrow().column("word").to_numpy().view(np.uint64))
+            shared = vocab, *index_for(vocab)
+    out = None
+    for i in range(blocks):
+        own = q.filter(F.pmod(F.xxhash64(id_col, "text"), F.lit(blocks)) == i).orderBy(id_col, "text").toArrow()
+        row, key = distinct_words(own.column("text"))
+        vocab, index, idf, mean = shared or (v := np.unique(key), *index_for(v))
+        term = np.searchsorted(vocab, key)
+        ids = own.column(id_col).to_pylist()
+        cuts = np.searchsorted(row, np.arange(len(ids) + 1))  # rows are in order
+        asked = [(n, term[cuts[n] : cuts[n + 1]]) for n in range(len(ids)) if cuts[n] < cuts[n + 1]]
         hits = index.mapInArrow(_search(asked, idf, mean, k), "q long, doc_id long, score long")
         w = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         top = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
