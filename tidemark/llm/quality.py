@@ -5,7 +5,7 @@ punctuation, upper-case words, and how much the text repeats itself. Features ar
 by how well they tell the labels apart, and a truncated singular value decomposition gives the latent
 space. The sample's unit vectors (bounded: about 1.3 MB) travel to all tasks, where every document is
 projected and compared with all of them in blocks of exact products; its nearest neighbours vote with
-their similarities as weights.
+the fourth power of their similarities as weights, so that the nearest count most.
 """
 
 from __future__ import annotations
@@ -17,10 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import narrow
+from tidemark.llm.common import cut, narrow
 from tidemark.llm.textvec import chunks, counts, hashes, mix, spans, tables, words
 
 
+LOW48 = np.uint64((1 << 48) - 1)
+
+
 def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, feature) with counts, by row. A feature is a 48-bit hash."""
     n = len(offs) - 1
@@ -44,9 +47,13 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     size = np.minimum(np.log2(all_ + 1).astype(np.int64), 15)
     every = np.arange(n)
     special = lambda kind, x: mix((np.uint64(kind) << np.uint64(32)) + x.astype(np.uint64))
-    rows = [every, row, prow, np.repeat(every, np.minimum(extra[0], 1000)), every, every, every]
-    keys = [np.zeros(n, np.uint64), h, punct, special(2, np.zeros(int(np.minimum(extra[0], 1000).sum()), np.int64)), special(3, eighth * 16 + size // 2), special(4, share), special(5, size)]
+    loud = special(2, np.zeros(n, np.int64))  # once a row with shouted words, whose number is put in below
+    rows = [every, row, prow, np.flatnonzero(extra[0]), every, every, every]
+    keys = [np.zeros(n, np.uint64), h, punct, loud[extra[0] > 0], special(3, eighth * 16 + size // 2), special(4, share), special(5, size)]
     row, key, times = counts(np.concatenate(rows), np.concatenate(keys))
+    if n:
+        at = np.flatnonzero(key == loud[0] & LOW48)
+        times[at] = extra[0][row[at]]
     return row, key.astype(np.int64), times
 
 
@@ -119,10 +126,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, dims: int =
     are looked at, of each pair of labels, and per_class those of them that vote, near copies of which are
     left out (else a text with many copies would seem to tell labels apart); chance: standard
     errors below which a feature hardly counts, for quality (which shows in many features) and toxicity (in few)."""
-    lab = {r["doc_id"]: (r["quality"], r["toxic"]) for r in sample(docs, labels, pool).collect()}  # at most pool a pair of labels
+    few = cut(sample(docs, labels, pool))  # at most pool a pair of labels
+    lab = {r["doc_id"]: (r["quality"], r["toxic"]) for r in few.collect()}
     if not lab:
         return None
-    d = narrow(docs, "doc_id", "text").filter(F.col("doc_id").isin(sorted(lab)) & F.col("text").isNotNull())
+    d = narrow(docs, "doc_id", "text").filter("text is not null").join(F.broadcast(few.select("doc_id")), "doc_id", "left_semi")
     got = d.mapInArrow(_count, "doc_id long, keys array<long>, counts array<int>").toArrow()
     ids, nth = np.unique(got.column("doc_id").to_numpy(), return_index=True)
     got = got.take(pa.array(nth))  # rows that share a doc_id: the first
@@ -206,7 +214,7 @@ def classify(docs: DataFrame, labels: DataFrame, neighbours: int = 25, per_class
     A text without features in the model (empty, null), and every text where no labelled document is at
     hand, has null scores and is neither good nor toxic; keep is then true, as nothing speaks against it.
     Repeated rows are judged alike. Null doc_ids keep their rows. Conflicting labels of one doc_id count
-    as low quality and as toxic. All that tie with the last neighbour vote. Other columns are ignored. An empty table gives no rows.
+    as low quality and as toxic. A neighbour's vote weighs the fourth power of its similarity. Very long texts are read whole. All that tie with the last neighbour vote. Other columns are ignored. An empty table gives no rows.
     """
     model = train(docs, labels, per_class, dims)
 
