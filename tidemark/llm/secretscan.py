@@ -62,24 +62,30 @@ def battery(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     correlation, and Fisher's statistic."""
     member, code, half = _encoding_tables()
     m, n = sym.shape
+    step = max(1, (1 << 20) // max(1, m))  # symbols of a row at a time, so that memory doesn't follow a token's length
     used = np.zeros((m, len(SYMBOLS)), bool)
-    used[np.arange(m)[:, None], sym] = True
+    for a in range(0, n, step):
+        used[np.arange(m)[:, None], sym[:, a : a + step]] = True
     enc = (used[:, None, :] <= member[None]).all(axis=2).argmax(axis=1)
     size = member.sum(axis=1)[enc].astype(float)
-    v = code[enc[:, None], sym]
-    count = np.bincount((np.arange(m)[:, None] * 64 * 2 + v).ravel(), minlength=m * 128).reshape(m, 128)
-    chi = size / n * (count.astype(float) ** 2).sum(axis=1) - n
+    middle = (size[:, None] - 1) / 2
+    count, turns, product = np.zeros((m, 128)), np.zeros(m), np.zeros(m)
+    for a in range(0, n, step):
+        part = sym[:, a : a + step + 1]  # and the next one's first
+        v, h = code[enc[:, None], part], half[enc[:, None], part]
+        count += np.bincount((np.arange(m)[:, None] * 128 + v[:, :step]).ravel(), minlength=m * 128).reshape(m, 128)
+        turns += (h[:, 1:] != h[:, :-1]).sum(axis=1)
+        c = v - middle
+        product += (c[:, 1:] * c[:, :-1]).sum(axis=1)
+    chi = size / n * (count**2).sum(axis=1) - n
     df = size - 1
     z = ((np.maximum(chi, 1e-9) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / np.sqrt(2 / (9 * df))  # Wilson-Hilferty
     p_chi = np.where(z > 0, _two_sided(z) / 2, 1 - _two_sided(z) / 2)
-    h = half[enc[:, None], sym]
     p = half.sum(axis=1)[enc] / size
     pq = p * (1 - p)
-    turns = (h[:, 1:] != h[:, :-1]).sum(axis=1)
     var = (n - 1) * 2 * pq * (1 - 2 * pq) + 2 * (n - 2) * pq * (1 - 4 * pq)
     p_runs = _two_sided((turns - (n - 1) * 2 * pq) / np.sqrt(var))
-    c = v - (size[:, None] - 1) / 2
-    p_serial = _two_sided((c[:, 1:] * c[:, :-1]).sum(axis=1) / ((size**2 - 1) / 12) / np.sqrt(n - 1))
+    p_serial = _two_sided(product / ((size**2 - 1) / 12) / np.sqrt(n - 1))
     tests = np.stack([p_chi, p_runs, p_serial], axis=1)
     return enc, np.column_stack((tests, -2 * np.log(tests).sum(axis=1)))
 
@@ -173,7 +179,7 @@ def candidates_in(texts: list[str | None], null: Null) -> pd.DataFrame:
                     rows.append((i, m.start(), m.end()))
                     tokens.append(m.group())
     x = pd.DataFrame(rows, columns=["at", "start", "end"]).astype("int64")
-    number = np.zeros(128, np.int64)
+    number = np.zeros(128, np.uint8)
     for i, c in enumerate(SYMBOLS):
         number[ord(c)] = i
     n = (x["end"] - x["start"]).to_numpy()
@@ -227,7 +233,7 @@ def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     tokens held to be secrets, with a false-discovery rate of at most rate in each length class.
 
     Null and empty texts have none. A null doc_id keeps its rows. Repeated rows give repeated results and
-    count as often. Ties in p_value are accepted or rejected together. Other columns are ignored. An
+    count as often. Ties in p_value are accepted or rejected together. Very long texts and tokens are read whole. Other columns are ignored. An
     empty table gives no rows.
     """
     found, _, least = scan(docs, rate)
@@ -239,7 +245,10 @@ def find_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
 
 def redact(docs: DataFrame, rate: float = 0.01, mask: str = "[SECRET]") -> DataFrame:
     """docs with each secret replaced by mask; n_chars, where it is a column, follows a changed text.
-    All other columns and all rows stay."""
+
+    All other columns (those with clashing names, too) and all rows stay, null and empty texts as they are.
+    Repeated rows are masked alike, and tokens that tie are masked together. Very long texts and tokens are read
+    whole. An empty table gives no rows."""
     _, null, least = scan(docs, rate)
 
     @F.arrow_udf("string")
