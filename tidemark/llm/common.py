@@ -45,3 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 def fresh_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
