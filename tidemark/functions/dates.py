@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.lexicons import EDGE, MONTHS
+from tidemark.functions.text import let
 
 _M = "(" + "|".join(MONTHS) + ")[a-z]*"
 
@@ -30,29 +31,34 @@ FAMILIES: list[tuple[str, str]] = [
 def find_all_dates(text: Column) -> Column:
     """All dates in text, by family of notation and then by place. Dots and dashes read day first, slashes
     month first, unless a number above 12 says otherwise."""
-    s = F.regexp_replace(text, rf"(?i)(\d+)(?:st|nd|rd|th){EDGE}", "$1")
-
-    def family(pattern: str, kind: str) -> Column:
+    def family(s: Column, pattern: str, kind: str) -> Column:
         whole = "(?i)" + EDGE + pattern + EDGE
-        part = lambda x, i: F.regexp_extract(x, whole, i)
-        num = lambda x, i: F.try_to_number(part(x, i), F.lit("9999")).cast("int")
 
-        def date(x: Column) -> Column:
+        def date(p: Column) -> Column:
+            at = lambda i: F.try_element_at(p, F.lit(i))
+            num = lambda x: F.when(F.length(x) < 5, x).cast("int")
             if kind == "Mdy":
-                return make_date(num(x, 3), month_number(part(x, 1)), num(x, 2))
-            if kind == "dMy":
-                return make_date(num(x, 3), month_number(part(x, 2)), num(x, 1))
+                return make_date(num(at(3)), month_number(at(1)), num(at(2)))
+            if kind == "dMy":  # from the end, as "of" may stand between
+                return make_date(num(at(-1)), month_number(at(-2)), num(at(1)))
             if kind == "ymd":
-                return make_date(num(x, 1), num(x, 2), num(x, 3))
+                return make_date(num(at(1)), num(at(2)), num(at(3)))
             if kind == "My":
-                return make_date(num(x, 2), month_number(part(x, 1)), F.lit(1))
-            a, b, y = num(x, 1), num(x, 2), num(x, 3)
+                return make_date(num(at(2)), month_number(at(1)), F.lit(1))
+            a, b, y = num(at(1)), num(at(2)), num(at(3))
             swap = (a <= 12) & (b > 12) if kind == "eu" else ~((a > 12) & (b <= 12))
             return make_date(y, F.when(swap, a).otherwise(b), F.when(swap, b).otherwise(a))
 
-        return F.filter(F.transform(F.regexp_extract_all(s, F.lit(whole), F.lit(0)), date), lambda d: d.isNotNull())
+        # a match is split once into its numbers and words
+        parts = F.transform(F.regexp_extract_all(s, F.lit(whole), F.lit(0)), lambda x: F.split(x, "[^0-9A-Za-z]+"))
+        return F.filter(F.transform(parts, date), lambda d: d.isNotNull())
+
+    none = F.array().cast("array<date>")
+    return let(F.regexp_replace(text, rf"(?i)(\d+)(?:st|nd|rd|th){EDGE}", "$1"), lambda x: F.when(x.rlike(r"\d{4}"), _families(x, family)).otherwise(F.when(x.isNotNull(), none)))
+
 
-    return F.concat(*[family(p, k) for p, k in FAMILIES])
+def _families(s: Column, family) -> Column:
+    return F.concat(*[family(s, p, k) for p, k in FAMILIES])
 
 
 def first_date(text: Column, now: Column) -> Column:

@@ -7,6 +7,13 @@ of the operators, so that another vocabulary can take their place.
 
 from __future__ import annotations
 
+import itertools
+import warnings
+
+with warnings.catch_warnings():
+    warnings.simplefilter("ignore")
+    from re import _parser
+
 #: An ASCII word boundary: Java's own takes in accented letters.
 EDGE = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 
@@ -40,6 +47,123 @@ def any_of(block: list[str]) -> list[str]:
     return out + (["(?i)" + "|".join(f"(?:{x})" for x in raw)] if raw else [])
 
 
+HEAD = 3
+_Strings = set[str] | None
+
+
+def _heads(items: list, most: int = 400) -> tuple[set[str], bool] | None:
+    """The possible first HEAD characters of what a parsed pattern matches, up to the end of its first word, digits as 0
+    and letters lowered; and whether all are complete (the word is over or HEAD is reached). None: too many."""
+    out: set[str] = {""}
+    open_ = {""}  # beginnings that what follows can still lengthen
+    done: set[str] = set()
+    for op, arg in items:
+        name = str(op)
+        if name == "AT" or (name.startswith("ASSERT")):
+            continue
+        new: set[str] = set()
+        if name == "LITERAL":
+            new = {_fold(chr(arg))}
+        elif name == "IN":
+            for k, v in arg:
+                if str(k) == "LITERAL":
+                    new.add(_fold(chr(v)))
+                elif str(k) == "RANGE":
+                    new |= {_fold(chr(c)) for c in range(v[0], v[1] + 1)}
+                elif str(k) == "CATEGORY" and str(v) == "CATEGORY_DIGIT":
+                    new.add("0")
+                elif str(k) == "CATEGORY" and str(v) == "CATEGORY_SPACE":
+                    new.add(" ")
+                else:
+                    return None
+        elif name in ("SUBPATTERN", "BRANCH", "MAX_REPEAT", "MIN_REPEAT"):
+            if name == "SUBPATTERN":
+                parts = [list(arg[3])]
+            elif name == "BRANCH":
+                parts = [list(x) for x in arg[1]]
+            else:
+                lo, hi, inner = arg
+                counts = range(int(lo), min(int(hi), HEAD) + 1) if int(lo) <= HEAD else [HEAD]
+                parts = [list(inner) * k for k in counts]
+            for x in parts:
+                got = _heads(x, most)
+                if got is None:
+                    return None
+                new |= got[0]
+        else:
+            return None
+        grown = {a + b for a, b in itertools.product(open_, new)}
+        open_ = set()
+        for g in grown:
+            word = _word(g)
+            if word != g or len(g) >= HEAD:
+                done.add(word[:HEAD] if word == g else word + " ")
+            else:
+                open_.add(g)
+        if len(open_) + len(done) > most:
+            return None
+        if not open_:
+            break
+    out = {d for d in done} | open_
+    return out, not open_
+
+
+def _fold(c: str) -> str:
+    c = c.lower()
+    return "0" if c.isdigit() else c
+
+
+def _word(g: str) -> str:
+    for i, c in enumerate(g):
+        if not (c.isascii() and (c.isalnum() or c == "_")):
+            return g[:i]
+    return g
+
+
+def heads(line: str) -> list[str] | None:
+    """How the word begins, in which any match of the pattern begins: its first HEAD characters (all of a shorter word),
+    lowered, digits as 0. None: can't be told, or a match needn't begin with a word."""
+    body = line[1:] if line[0] in "=~" else line
+    if line[0] == "~":
+        if not body.startswith(r"\b"):
+            return None
+        body = body[2:]
+    got = _heads(list(_parser.parse("(?:" + body + ")")))
+    if got is None:
+        return None
+    own = {h.rstrip(" ")[:HEAD] for h in got[0]}
+    return sorted(own) if all(own) else None
+
+
+def needles(line: str) -> list[str] | None:
+    """Lower-case strings of which every match holds one; None: can't be told."""
+    body = line[1:] if line[0] in "=~" else line
+    best: list[str] | None = None
+
+    def of(items: list) -> list[str] | None:
+        found: list[list[str]] = []
+        run = ""
+        for op, arg in [*items, ("END", None)]:
+            if str(op) == "LITERAL" and chr(arg).isascii():
+                run += chr(arg).lower()
+                continue
+            if len(run) > 1:
+                found.append([run])
+            run = ""
+            if str(op) == "SUBPATTERN":
+                x = of(list(arg[3]))
+                if x:
+                    found.append(x)
+            elif str(op) == "BRANCH":
+                each = [of(list(x)) for x in arg[1]]
+                if all(each):
+                    found.append([w for x in each for w in x])
+        return max(found, key=lambda x: min(map(len, x)), default=None)
+
+    best = of(list(_parser.parse("(?:" + body + ")")))
+    return best
+
+
 #: slug -> (weight, patterns), the first wins ties
 CATEGORIES: dict[str, tuple[int, list[str]]] = {
     slug: (weight, lines(block))
@@ -210,9 +334,10 @@ SEGMENTS: dict[str, list[str]] = {
             tankers?
             =[UV]LCCs?
             aframax|suezmax
-            BCTI|BDTI|world\s*scale|WS\s*\d{2,3}
             crude\s+(?:oil\s+)?carrier
-            Ardmore\s+Shipping|DHT\s+Holdings|Euronav|Frontline|Hafnia\s+Ltd?|International\s+Seaways|TORM\s+plc"""),
+            BCTI|BDTI|world\s*scale|WS\s*\d{2,3}
+            Ardmore\s+Shipping|DHT\s+Holdings|Euronav|Frontline|Hafnia\s+Ltd?|International\s+Seaways
+            ~\bTORM\s+(?:plc)?\b"""),
         ("container", r"""
             box\s*ships?|container\s*ships?
             =\d{1,2},?\d{3}\s*TEU
@@ -221,40 +346,56 @@ SEGMENTS: dict[str, list[str]] = {
             feeder\s+(?:service|vessel)
             liner\s+(?:service|shipping|trade)
             mainline\s+(?:carrier|service)
-            container\s+(?:business|cargo|carrier|earnings|fleet|freight|industry|line|market|operation|operator|rate|sector|shipping|trade|volumes?)
+            container\s+(?:business|cargo|carrier|earnings|fleet|freight|industry|lines?|market|operation|operator|rates?|sector|shipping|terminals?|trade|volumes?)
+            CCFI|Drewry\s+World\s+Container|FBX|HARPEX|HRCI|SCFI|WCI|XSI
+            =HMM(?:\s+(?:Co|Container|Korea))?
+            ~\bMediterranean\s+Shipping\s+Co
             CMA\s+CGM|COSCO\s+Shipping|Evergreen\s+(?:Line|Marine)|Hapag-Lloyd|Wan\s+Hai|Yang\s+Ming
+            ONE\s+(?:Container|Line|Network)
             ZIM\s+(?:Integrated|Lines|Shipping)
-            CCFI|FBX|HARPEX|HRCI|SCFI|WCI|XSI"""),
+            =(?:2M|Gemini|Ocean|Premier|THE)\s+(?:Alliance|Cooperation)"""),
         ("dry_bulk", r"""
             bulk\s+(?:carriers?|fleet|market|sector|shipping|trade)
             capesizes?|handysizes?|newcastlemax
             (?:handy|kamsar|pana|supra|ultra)max(?:es)?
             dry\s+bulk
+            bauxite\s+cargo
             iron\s+ore
-            (?:bauxite|chrom(?:e|ium)|fluorspar|manganese|nickel)\s+ore
+            ore\s+(?:cargoes|cargo)
+            (?:bauxite|chrome|chromium|fluorspar|manganese|nickel)\s+ore
             coal\s+(?:cargo|carrier|shipment|trade)
             grain\s+(?:cargo|export|shipment|trade)
+            group\s+a\s+cargo(?:es)?
             =BCI|BDI|BHSI|BPI|BSI
-            may\s+liquefy|cargo\s+liquefaction|solid\s+bulk\s+cargo(?:es)?"""),
+            Baltic\s+(?:Capesize|Dry|Handysize|Panamax|Supramax)\s+Index
+            may\s+liquefy|cargo\s+liquefaction|solid\s+bulk\s+cargo(?:es)?
+            2020\s+Bulkers|Berge\s+Bulk|Diana\s+Shipping|Eagle\s+Bulk|Genco\s+Shipping|Golden\s+Ocean|Himalaya\s+Shipping|Pacific\s+Basin|Safe\s+Bulkers|Star\s+Bulk"""),
         ("lng_lpg", r"""
             gas\s+carriers?
             liquefied\s+(?:natural|petroleum)\s+gas
-            (?:LNG|LPG)\s+(?:bunkering|cargo|cargoes|carriers?|charter|chartering|exports?|fleet|imports?|industry|market|sector|ships?|spot|tankers?|terminal|trade|vessels?)
+            (?:LNG|LPG)\s+(?:bunkering|cargo|cargoes|carriers?|charter|chartering|export|fleet|force\s+majeure|imports?|industry|market|sector|ships?|spot|tankers?|terminal|trade|vessels?)
             (?:ammonia|methanol)\s+(?:bunker|carrier|fuel|ship|vessel)
             =VLGCs?|MGCs?|FSRUs?|FLNG
-            (?:JKM|TTF)\s+(?:index|price|spot)"""),
+            (?:JKM|TTF)\s+(?:index|price|spot)
+            Awilco\s+LNG|BW\s+(?:LNG|LPG)|Capital\s+Gas|Cool\s+Company|Dynagas|Excelerate\s+Energy|Flex\s+LNG|GasLog|H[öo]egh\s+LNG"""),
         ("offshore", r"""
             drilling\s+rigs?|jack-?ups?|oil\s+platform|semi-?submersibles?|subsea
             =AHTS|CTV|FPSOs?|FPUs?|OSV|PSV|SOV|WTIV
             offshore\s+(?:fleet|gas|industry|installation|market|oil|sector|service|vessels?|wind)
-            wind\s+(?:farm|turbine\s+installation)"""),
+            wind\s+(?:farm|turbine\s+installation)
+            Bourbon|Bumi\s+Armada|DOF\s+Group|McDermott\s+International|Modec|Saipem|SBM\s+Offshore|Solstad\s+Offshore|Subsea\s*7|TechnipFMC|Transocean|Yinson"""),
         ("cruise", r"""
             cruise\s+(?:bookings?|business|company|deployment|fleet|industry|lines?|operators?|sector|ships?|vessels?)
             passenger\s+(?:cruise|liner|ship|vessel)
             Carnival\s+(?:Corporation|Cruises?)|MSC\s+Cruises|Norwegian\s+Cruise\s+Line
-            Royal\s+Caribbean\s+(?:Cruises|Group|International)"""),
+            (?:AIDA|Celebrity|Costa|Cunard|Holland\s+America|P&O\s+Cruises|Princess)\s+Cruises?
+            RCL\s+Holdings|Royal\s+Caribbean\s+(?:Cruises|Group|International)"""),
     ]
 }
+#: A match of the first counts only where what follows isn't the second: segment -> (pattern, what mustn't follow).
+NOT_BEFORE = {"=HMM(?:\\s+(?:Co|Container|Korea))?": r"\s+(?:Drilling|Offshore)"}
+SEGMENT_LABELS = {"container": "Container", "cruise": "Cruise", "dry_bulk": "Dry Bulk", "lng_lpg": "LNG / LPG", "offshore": "Offshore", "tanker": "Tankers"}
+TYPE_LABELS = {"casualty_report": "Casualty", "class_notice": "Class Notice", "market_report": "Market Report", "news": "News", "pi_circular": "P&I Circular", "press_release": "Press", "psc_report": "PSC Report", "regulation": "Regulation"}
 CATEGORY_SEGMENT = {"container": "container", "dry-bulk": "dry_bulk", "offshore": "offshore", "tankers": "tanker"}
 SOURCE_SEGMENT = {"container": "container", "tanker": "tanker", "lng|lpg": "lng_lpg", "offshore": "offshore", "bulk|bulker": "dry_bulk", "cruise": "cruise"}
 
@@ -297,9 +438,11 @@ SPAM = lines(r"""
     twitter\s+(?:engagement|impact|marketing)
     tiktok\s+(?:marketing|strategy)
     social\s+media\s+(?:marketing|tips)
+    brand\s+marketing\s+and\s+customer\s+engagement
     rotating\s+file\s+cabinet
     office\s+(?:chair|design|desk|furniture)
     ergonomic\s+(?:chair|desk)
+    professional\s+development\s+paths?\s+for\s+marketers
     availability\s+tracker
     supply\s+chain\s+visibility\s+software""")
 BOILERPLATE = ["~" + x for x in ("all rights reserved|©", "cookie policy", "emergency contact", "enable (?:cookies|javascript)", "latest updates", "(?:log|sign) in", "main menu", "outdated browser", "please subscribe", "skip to content", "toggle navigation", "upgrade to a modern", "you are using", r"^(?:home|menu)\b")]
@@ -331,4 +474,40 @@ MARKET = lines(r"""
     weekly\s+(?:forecast|outlook|report)""")
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 TRACKING = ["utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term", "fbclid", "gclid", "redirect", "_"]
-LANDING = ["archive", "articles", "blog", "events", "home", "index", "insights", "latest", "media", "news", "press", "publications", "resources", "updates"]
+LANDING = sorted("all archive archives articles author authors categories category feed home index magazine magazines news page pages posts rss section sections tag tags topic topics video videos".split())
+
+#: What a paywall says: a first part joined to each of its second parts.
+PAYWALL = sorted(
+    f"{a} {b}".strip()
+    for a, bs in {
+        "become a": ["member to", "subscriber to"], "begin": ["a free trial", "free trial", "your free trial"], "start": ["free trial", "your free trial"], "free trial to": ["continue", "read", "view"],
+        "create an account to": ["continue", "read", "view"], "join to": ["continue", "read"], "log in to": ["continue", "read", "see", "view", "your account to continue"], "please log in to": ["continue", "read", "view"],
+        "only available to": ["members", "paid subscribers", "subscribers"], "register to": ["continue", "read", "view"], "register now to read": [""], "sign in to": ["continue", "read", "view", "your account"],
+        "sign up to": ["continue", "read", "view"], "subscribe to": ["continue", "read", "view"], "subscribe now": ["", "to continue", "to read", "to view"], "subscription": ["needed", "required"],
+        "this article is for": ["members", "paid subscribers", "subscribers"], "this content is locked": [""], "unlock": ["the rest of this article", "this article"],
+        "members only": [""], "subscribers only": [""], "paid subscribers only": [""], "premium subscribers only": [""],
+    }.items()
+    for b in bs
+)
+
+#: Words that are no keywords.
+STOP_WORDS = sorted(set("""
+    a about above across after against all also am an and announced announces any are article articles as association at bad be been before being below between big bulletin bulletins business businesses but by
+    can circular circulars club clubs companies company could details did do does doing done during even every first five for four from good had has have having he her hers high him his home how
+    in industry information into is it its just last least less long low many maritime may member members might more most much must new news next nor notice notices now ocean oceans of old on one only onto or organisation our ours over
+    page recent recently release releases report reported reports said says sea seas second shall she ship shipping ships short should small so some soon still that the their them then these they this those three through to today tomorrow two
+    under update updates us vessel vessels was water waters we website were what when where which who whom whose why will with would yesterday yet you your yours""".split()))
+
+#: (pattern of a URL, tag slugs), the first parts of publishers' own topic pages.
+URL_RULES = [(r"(?i)skuld\.com/topics/" + x, [y]) for x, y in (
+    ("cargo/", "cargo-claims"), ("environment/", "pollution-claims"), ("legal/pi-and-defence/", "fdd"), ("legal/sanctions/", "russia-sanctions"), ("people/", "crew-claims"), ("port/", "ports"), ("port/piracy/", "piracy"), ("ship/(?:bunkers|navigation|safety)/", "loss-prevention"),
+)] + [(r"(?i)britanniapandi\.com/category/" + x, y) for x, y in (
+    ("(?:bsafe|case-study|loss-prevention)", ["loss-prevention"]), ("crew-watch", ["crew-claims", "crew-watch"]), ("health-watch", ["crew-claims", "health-watch"]), ("risk-watch", ["loss-prevention", "risk-watch"]),
+)] + [(r"(?i)westpandi\.com/.*topics=lossprevention", ["loss-prevention"]), (r"(?i)westpandi\.com/.*topics=sanctions", ["russia-sanctions"])]
+#: (pattern of a title, tag slugs that it rules out)
+FALSE_CONTEXTS = [
+    (r"class[-\s]action", ["abs", "bureau-veritas", "ccs-class", "classnk", "dnv", "korean-register", "lloyds-register", "polish-register-of-shipping", "rina-class"]),
+    (r"gas station", ["lng-bunkering"]), (r"pilot (?:episode|project|scheme)|test pilot", ["ports"]),
+]
+#: Tags whose names are matched with their case.
+CASE_TAGS = sorted("abs ais bimco bureau-veritas ccs-class cii classnk eedi eexi emsa eu-ets fueleu-maritime ics-shipping imo lloyds-register msc one-line rina-class us-coast-guard".split())

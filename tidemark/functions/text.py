@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.lexicons import TRACKING, any_of, java_pattern
+from tidemark.functions.lexicons import HEAD, NOT_BEFORE, TRACKING, any_of, heads, java_pattern, needles
+
 
 def let(x: Column, f) -> Column:
     """f(x) with x computed once a row, however often f names it."""
@@ -16,22 +19,66 @@ def trim(text: Column) -> Column:
     return F.btrim(text, F.lit(" \t\n\r\f"))
 
 
-def hits(text: Column, patterns: list[str]) -> Column:
-    """How many of the patterns occur. A text that matches none of them is read once or twice, not once a pattern."""
-    n = sum((text.rlike(java_pattern(p)).cast("int") for p in patterns), F.lit(0))
-    return F.when(matches(text, patterns), n).otherwise(0) if len(patterns) > 3 else n
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores before work that a core is busy with, where its files are fewer than these (a file of one
+    row group is one task). A table of many files is read where it lies, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
+def word_heads(text: Column, wanted: list[str]) -> Column:
+    """Which of the wanted beginnings of words (lexicons.heads) the text has. The text is read once, whatever their
+    number, and most texts have few or none."""
+    low = F.translate(F.lower(text), "123456789", "000000000")
+    words = F.array_distinct(F.split(low, "[^0a-z_]+"))
+    return F.array_intersect(F.transform(words, lambda w: F.substring(w, 1, HEAD)), F.lit(wanted))
+
+
+class Finder:
+    """Patterns of several blocks against one text. A pattern is tried only where the text has a word that can begin it,
+    or a string that it must hold."""
+
+    def __init__(self, *blocks: list[str]) -> None:
+        self.heads = {p: heads(p) for block in blocks for p in block}
+        self.wanted = sorted({h for own in self.heads.values() for h in own or []})
+
+    def read(self, text: Column) -> Column:
+        low = F.lower(text)
+        return F.struct(text.alias("text"), word_heads(text, self.wanted).alias("heads"), low.alias("low"))
+
+    def has(self, x: Column, p: str) -> Column:
+        own = self.heads[p]
+        if own:
+            can = F.arrays_overlap(x["heads"], F.lit(own))
+        else:
+            must = needles(p)
+            can = F.lit(True) if not must else reduce(lambda a, b: a | b, [F.contains(x["low"], F.lit(m)) for m in must])
+        found = x["text"].rlike(java_pattern(p))
+        if p in NOT_BEFORE:
+            found = x["text"].rlike(java_pattern(p) + "(?!" + NOT_BEFORE[p] + ")")
+        return F.when(can, found).otherwise(False)
+
+    def any(self, x: Column, block: list[str]) -> Column:
+        return reduce(lambda a, b: a | b, [self.has(x, p) for p in block], F.lit(False))
+
+    def count(self, x: Column, block: list[str]) -> Column:
+        return reduce(lambda a, b: a + b, [self.has(x, p).cast("int") for p in block], F.lit(0))
 
 
 def matches(text: Column, patterns: list[str]) -> Column:
+    """Whether a short text matches one of the patterns: one regex for all of them."""
     out = F.lit(False)
-    for p in any_of(patterns):
+    for p in any_of([x for x in patterns if x not in NOT_BEFORE]):
         out = out | text.rlike(p)
+    for p in patterns:
+        if p in NOT_BEFORE:
+            out = out | text.rlike(java_pattern(p) + "(?!" + NOT_BEFORE[p] + ")")
     return out
 
 
 def strip_html(html: Column) -> Column:
-    """Text of HTML: scripts and styles go, tags become blanks, blanks collapse."""
-    x = F.regexp_replace(F.regexp_replace(html, r"(?is)<script\b.*?</script>", " "), r"(?is)<style\b.*?</style>", " ")
+    """Text of HTML: scripts and styles go without a trace, tags become blanks, blanks collapse."""
+    x = F.regexp_replace(F.regexp_replace(html, r"(?i)<script\b[\s\S]*?</script>", ""), r"(?i)<style\b[\s\S]*?</style>", "")
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"<[^>]+>", " "), r"\s+", " "))
 
 
@@ -78,13 +125,17 @@ def https(url: Column) -> Column:
 
 
 def summary(excerpt: Column) -> Column:
-    """The first two sentences if they have 60 characters or more, at most 320; else the first 280
-    characters, cut at a word. Sentences are sought in the first 4000 characters."""
-    c = F.trim(F.regexp_replace(F.substring(excerpt, 1, 4000), r"\s+", " "))
-    s = F.regexp_extract_all(c, F.lit(r"[^.!?]+[.!?]+"), F.lit(0))
-    two = F.trim(F.array_join(F.slice(s, 1, 2), " "))
-    short = F.concat(F.regexp_replace(F.substring(c, 1, 280), r"\s+\S*\z", ""), F.lit("…"))
-    return F.when((F.size(s) >= 2) & (F.length(two) >= 60), F.substring(two, 1, 320)).when(F.length(c) <= 280, c).otherwise(short)
+    """The first two sentences if they have 60 characters or more, at most 320; else the first 280 characters, cut at
+    a word. The whole text is searched; possessive repeats keep that linear where it has no full stop. Null: ''."""
+    squashed = F.trim(F.regexp_replace(F.coalesce(excerpt, F.lit("")), r"\s+", " "))
+    both = r"^[.!?]*+([^.!?]++[.!?]++)([^.!?]++[.!?]++)"
+
+    def pick(c: Column) -> Column:
+        two = F.when(c.rlike(both), F.trim(F.concat(F.regexp_extract(c, both, 1), F.lit(" "), F.regexp_extract(c, both, 2))))
+        short = F.concat(F.regexp_replace(F.substring(c, 1, 280), r"\s+\S*\z", ""), F.lit("…"))
+        return let(two, lambda t: F.when(F.length(t) >= 60, F.substring(t, 1, 320)).when(F.length(c) <= 280, c).otherwise(short))
+
+    return let(squashed, pick)
 
 
 def build_excerpt(full: Column, feed: Column) -> Column:

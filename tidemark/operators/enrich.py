@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicons as L
-from tidemark.functions.text import hits, let, matches
+from tidemark.functions.text import Finder, let, matches
 
 Rules = dict[str, tuple[int, list[str]]]
 
 
-def category_scores(title: Column, excerpt: Column, rules: Rules = L.CATEGORIES) -> dict[str, Column]:
-    """By slug: weight for each pattern in title or excerpt, and again for each in the title."""
-    text = F.concat_ws("\n", title, excerpt)
-    return {slug: (hits(text, p) + hits(title, p)) * w for slug, (w, p) in rules.items()}
-
-
 def category(title: Column, excerpt: Column, hint: Column | None = None, rules: Rules = L.CATEGORIES) -> Column:
-    """struct<slug, score, confidence>: the first slug with the highest score; the hint where no score reaches 2."""
-    entries = [F.struct(s.alias("score"), F.lit(-k).alias("order"), F.lit(slug).alias("slug")) for k, (slug, s) in enumerate(category_scores(title, excerpt, rules).items())]
+    """struct<slug, score, confidence>: the first slug with the highest score (its weight for each pattern in title or
+    excerpt, and again for each in the title); the hint where no score reaches 2."""
+    f = Finder(*(p for _, p in rules.values()))
+
+    def counts(x: Column) -> Column:
+        """By rule how many patterns a text holds; null where it has no word that begins one."""
+        return F.when((F.size(x["heads"]) > 0) | F.lit(not all(f.heads.values())), F.array(*[f.count(x, p) for _, p in rules.values()]))
+
+    def best(n: Column) -> Column:
+        zero = F.lit([0] * len(rules))
+        total = F.zip_with(F.coalesce(n[0], zero), F.coalesce(n[1], zero), lambda a, b: a + b)
+        scored = F.zip_with(total, F.lit([w for w, _ in rules.values()]), lambda a, w: a * w)
+        ranked = F.transform(scored, lambda v, i: F.struct(v.alias("score"), (-i).alias("order")))
+        top = F.array_max(ranked)
+        return F.struct(top["score"].alias("score"), F.element_at(F.lit(list(rules)), 1 - top["order"]).alias("slug"))
+
     hint = hint if hint is not None else F.lit(None).cast("string")
 
     def pick(best: Column) -> Column:
@@ -27,7 +38,8 @@ def category(title: Column, excerpt: Column, hint: Column | None = None, rules:
         conf = F.when(hinted, F.lit(0.6)).when(best["score"] == 0, F.lit(0.3)).otherwise(F.least(F.lit(0.9), F.lit(0.4) + best["score"].cast("double") * F.lit(0.15)))
         return F.struct(F.when(hinted, hint).when(best["score"] == 0, "general").otherwise(best["slug"]).alias("slug"), best["score"].alias("score"), conf.alias("confidence"))
 
-    return let(F.array_max(F.array(*entries)), pick)
+    both = F.array(f.read(F.concat_ws("\n", title, excerpt)), f.read(title))
+    return let(let(F.transform(both, counts), best), pick)
 
 
 def segments(title: Column, excerpt: Column, category_slug: Column, source_name: Column, rules: dict[str, list[str]] = L.SEGMENTS) -> Column:
@@ -46,31 +58,40 @@ def document_type(hint: Column, source_name: Column, category_slug: Column, titl
     return out.when(matches(text, L.MARKET), "market_report").when(source_name.rlike(r"(?i)press\s*release"), "press_release").otherwise("news")
 
 
-STOP_WORDS = sorted(set("about after also been before being between could details from have home information into more news notice other over page said some such than that their them then there these they this those through under update updates website were what when where which while will with would your".split()))
-PHRASE = L.EDGE + r"([A-Z][a-z]+(?:\s+(?:of\s+|the\s+)?[A-Z][a-z]+){1,3})" + L.EDGE
-TOKEN = L.EDGE + r"([A-Za-z][A-Za-z\-]+)" + L.EDGE
-
-
-def keywords(title: Column, excerpt: Column, most: int = 5, stop: list[str] = STOP_WORDS) -> Column:
-    """The most salient capitalised phrases and words: 5 a hit in the title, 1 in the excerpt. Words of a
-    phrase that was found don't count alone. Ties stay in order of first occurrence, phrases before words."""
-    t, e = F.substring(F.coalesce(title, F.lit("")), 1, 500), F.substring(F.coalesce(excerpt, F.lit("")), 1, 4000)
-    every = lambda x, p: F.regexp_extract_all(x, F.lit(p), F.lit(1))
-    good = lambda w: (F.length(w) >= 4) & ~F.lower(w).isin(stop)
-    times = lambda xs, x: F.size(F.filter(xs, lambda y: y == x))
-
-    def rank(a: Column) -> Column:
-        covered = F.flatten(F.transform(F.concat(a["pt"], a["pe"]), lambda p: F.split(F.lower(p), r"\s+")))
-        phrases = F.transform(F.array_distinct(F.concat(a["pt"], a["pe"])), lambda p: F.struct((times(a["pt"], p) * 5 + times(a["pe"], p)).alias("score"), p.alias("text")))
-        single = F.array_distinct(F.concat(a["wt"], a["we"]))
-        singles = let(covered, lambda c: F.transform(F.filter(single, lambda w: ~F.array_contains(c, F.lower(w))), lambda w: F.struct((times(a["wt"], w) * 5 + times(a["we"], w)).alias("score"), w.alias("text"))))
-        ranked = F.array_sort(F.transform(F.concat(phrases, singles), lambda x, i: F.struct((-x["score"]).alias("n"), i.alias("i"), x["text"].alias("text"))))
-        return F.transform(ranked, lambda x: x["text"])
-
-    found = F.struct(every(t, PHRASE).alias("pt"), every(e, PHRASE).alias("pe"), F.filter(every(t, TOKEN), good).alias("wt"), F.filter(every(e, TOKEN), lambda w: good(w) & w.rlike("^[A-Z]")).alias("we"))
-    texts = let(found, rank)
-    first = lambda xs: let(F.struct(xs.alias("x"), F.transform(xs, lambda x: F.lower(x)).alias("low")), lambda b: F.filter(b["x"], lambda x, i: F.array_position(b["low"], F.lower(x)) == i + 1))
-    return F.slice(let(texts, first), 1, most)
+PHRASE = re.compile(r"\b([A-Z][a-z]+(?:\s+(?:of\s+|the\s+)?[A-Z][a-z]+){1,3})\b", re.ASCII)
+TOKEN = re.compile(r"\b([A-Za-z][A-Za-z\-]+)\b", re.ASCII)
+
+
+def salient(title: str | None, excerpt: str | None, stop: frozenset[str]) -> list[str]:
+    t, e = (title or "")[:500], (excerpt or "")[:4000]
+    phrases: dict[str, int] = {}
+    words: dict[str, int] = {}
+    for text, worth in ((t, 5), (e, 1)):
+        for p in PHRASE.findall(text):
+            phrases[p] = phrases.get(p, 0) + worth
+    for text, worth in ((t, 5), (e, 1)):
+        for w in TOKEN.findall(text):
+            if len(w) >= 4 and w.lower() not in stop and (worth == 5 or w[0].isupper()):
+                words[w] = words.get(w, 0) + worth
+    covered = {w for p in phrases for w in p.lower().split()}
+    every = [*phrases.items(), *((w, n) for w, n in words.items() if w.lower() not in covered)]
+    out: dict[str, str] = {}
+    for w, _ in sorted(every, key=lambda x: -x[1]):
+        out.setdefault(w.lower(), w)
+    return list(out.values())
+
+
+def keywords(title: Column, excerpt: Column, most: int = 5, stop: list[str] = L.STOP_WORDS) -> Column:
+    """The most salient capitalised phrases and words: 5 a hit in the title (its first 500 characters), 1 in the excerpt
+    (4,000). Words of a phrase that was found don't count alone. Ties stay in order of first occurrence, phrases before
+    words. Counting with ordered ties is quadratic in array functions, so texts go to Python in Arrow batches, cut before."""
+    none = frozenset(stop)
+
+    @F.arrow_udf("array<string>")
+    def pick(t: pa.Array, e: pa.Array) -> pa.Array:
+        return pa.array([salient(a, b, none)[:most] for a, b in zip(t.to_pylist(), e.to_pylist(), strict=True)], pa.list_(pa.string()))
+
+    return pick(F.substring(title, 1, 500), F.substring(excerpt, 1, 4000))
 
 
 def tag_scores(articles: DataFrame, tags: DataFrame, key: str, threshold: int = 4, broadcast_rows: int = 50_000) -> DataFrame:

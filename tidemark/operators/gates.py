@@ -6,40 +6,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicons as L
-from tidemark.functions.text import hits, let, matches, trim
+from tidemark.functions.text import Finder, let, matches, trim
 
 
 def cta_density(text: Column, patterns: list[str] = L.CTA) -> Column:
-    return sum((F.regexp_count(text, F.lit(L.java_pattern(p))) for p in patterns), F.lit(0))
+    """How often calls to act occur, all patterns together."""
+    f = Finder(patterns)
+    count = lambda x: sum((F.when(F.arrays_overlap(x["heads"], F.lit(f.heads[p])), F.regexp_count(x["text"], F.lit(L.java_pattern(p)))).otherwise(0) for p in patterns), F.lit(0))
+    return let(f.read(text), count)
 
 
 def article_reason(title: Column, excerpt: Column, url: Column | None = None) -> Column:
     """Why a row is no article, or null."""
     t, e = trim(F.coalesce(title, F.lit(""))), trim(F.coalesce(excerpt, F.lit("")))
     u = F.coalesce(url, F.lit("")) if url is not None else F.lit("")
+    f = Finder(L.LOCKED, L.JUNK_PHRASES)
+    low = F.struct(e.alias("text"), F.lower(e).alias("low"))
     video = u.rlike(r"^https?://(?:www\.)?youtube\.com/watch\?v=")
     out = F.when(F.length(t) < 8, "title-short").when(matches(t, L.HUB_TITLES), "title-hub").when(matches(t, L.CTA_TITLES), "title-cta").when(matches(u, L.JUNK_URLS), "url-junk")
-    out = out.when(~video & (F.length(e) < 30), "excerpt-short").when(matches(e, L.LOCKED), "locked")
+    out = out.when(~video & (F.length(e) < 30), "excerpt-short").when(let(low, lambda x: f.any(x, L.LOCKED)), "locked")
     for p in L.JUNK_PHRASES:
         left = F.length(trim(F.regexp_replace(F.regexp_replace(e, L.java_pattern(p), " "), r"\s+", " ")))
-        out = out.when(e.rlike(L.java_pattern(p)) & (left < 100), "junk-phrase")
+        out = out.when(_junk(f, low, p) & (left < 100), "junk-phrase")
     return out.when((F.length(e) > 800) & (cta_density(e) >= 8), "cta-dense")
 
 
+def _junk(f: Finder, low: Column, p: str) -> Column:
+    return let(low, lambda x: f.has(x, p))
+
+
 def is_hub(title: Column, excerpt: Column) -> Column:
     return matches(trim(title), L.HUB_TITLES) | ((F.length(trim(excerpt)) > 800) & (cta_density(excerpt) >= 8))
 
 
 def moderate(title: Column, excerpt: Column, topic: list[str] = L.MARITIME, spam: list[str] = L.SPAM) -> Column:
-    """struct<decision, reason, hits>: hidden are texts with fewer than two topic hits that match a spam pattern."""
-    text = F.concat_ws("\n", title, excerpt)
-    found = F.struct(F.least(F.lit(2), hits(text, topic)).alias("n"), matches(text, spam).alias("spam"))
+    """struct<decision, reason, hits, matched>: hidden are texts with fewer than two topic hits that match a spam pattern;
+    matched is what the first of these found, 50 characters at most."""
+    f = Finder(topic, spam)
 
     def verdict(x: Column) -> Column:
-        hide = (x["n"] < 2) & x["spam"]
-        return F.struct(F.when(hide, "hide").otherwise("pass").alias("decision"), F.when(hide, "spam").when(x["n"] >= 2, "maritime").otherwise("unknown").alias("reason"), x["n"].alias("hits"))
+        hide = (x["n"] < 2) & x["what"].isNotNull()
+        return F.struct(F.when(hide, "hide").otherwise("pass").alias("decision"), F.when(hide, "spam").when(x["n"] >= 2, "maritime").otherwise("unknown").alias("reason"), x["n"].alias("hits"), F.when(hide, F.substring(x["what"], 1, 50)).alias("matched"))
+
+    def weigh(x: Column) -> Column:
+        what = F.coalesce(*[F.when(f.has(x, p), F.regexp_extract(x["text"], L.java_pattern(p), 0)) for p in spam])
+        return let(F.least(F.lit(2), f.count(x, topic)), lambda n: verdict(F.struct(n.alias("n"), F.when(n < 2, what).alias("what"))))
 
-    return let(found, verdict)
+    return let(f.read(F.concat_ws("\n", title, excerpt)), weigh)
 
 
 def visibility(decision: Column, trust: Column) -> Column:
@@ -83,12 +96,9 @@ def filter_terms(title: Column, terms: Column) -> Column:
     return let(F.filter(terms, ok), first)
 
 
-PAYWALL = ["already a subscriber", "become a member to read", "log in to continue reading", "please log in to view", "register to continue", "subscribe to continue", "subscribe to read", "subscribers only", "this article is for subscribers", "to continue reading", "unlock this article"]
-
-
-def paywalled(text: Column, marks: list[str] = PAYWALL) -> Column:
-    low = F.lower(text)
-    return F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(low, m))
+def paywalled(text: Column, marks: list[str] = L.PAYWALL) -> Column:
+    """Whether the text, whatever its case, holds one of the marks."""
+    return F.coalesce(let(F.lower(text), lambda low: F.exists(F.lit(marks), lambda m: F.contains(low, m))), F.lit(False))
 
 
 def outcome(reasons: dict[str, Column]) -> Column:
