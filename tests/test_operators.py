@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
-from tidemark.operators import dedup, enrich, gates, monitor, search, validate
+from tidemark.operators import dedup, enrich, gates, monitor, search
+from tidemark.plans import catalog
 from tidemark.plans.ingest import account, judge
 from tidemark.sources import feeds
 from tidemark.streaming.ingest import ingest
@@ -29,13 +30,6 @@ def test_html(spark):
     assert one(spark, ["<p>a <b>b</b></p><script>x<y</script> c&amp;d &#233;&#x41; &#0; &lt;"], text.html_to_text) == ["a b c&d éA &#0; <"]
 
 
-def test_titles(spark):
-    good = ["Loss prevention update for bulk carriers", "New rules on ballast water in Brazil"]
-    bad = ["Microsoft Word - Circular 5", "circular-12.pdf", "12 March 2024", "Page 3", "Short one", "", None, "Gard News Gard News Gard News"]
-    assert one(spark, good + bad, text.usable_title) == [True] * 2 + [False] * 8
-    assert one(spark, ["https://a.b/c/cargo-liquefaction-guide.pdf", "https://a.b/12345.pdf", "cargo-liquefaction-guide"], text.title_from_url) == ["Cargo Liquefaction Guide", None, None]
-
-
 def test_sections(spark):
     body = "\n".join(f"{i}. Heading number {i}\n" + "word " * 300 for i in (1, 2, 3))
     got = one(spark, [body, body[:3999], body.replace("3. H", "5. H")], text.sections)
@@ -98,14 +92,14 @@ def test_enrich(spark):
 
 
 def test_tags(spark):
-    a = spark.createDataFrame([(1, "/a/lng-carrier", "Big ship", "text"), (2, "", "An LNG carrier", "x"), (3, "", "t", "lng carrier here")], "id int, url string, title string, excerpt string")
-    t = spark.createDataFrame([("lng", "lng carrier"), ("ship", "ship")], "slug string, term string")
-    for most in (50_000, 0):  # broadcast, and by word sequences
-        got = sorted(tuple(r) for r in enrich.tag_scores(a, t, "id", broadcast_rows=most).select("id", "slug", "score").collect())
-        assert got == [(1, "lng", 10), (1, "ship", 4), (2, "lng", 6)]
-    found = enrich.tag_scores(a, t, "id")
-    s = enrich.suppress(found, "id", spark.createDataFrame([(1, "ship")], "id int, slug string"), spark.createDataFrame([("lng", "ship")], "slug string, other string"))
-    assert {(r["id"], r["slug"]): r["blocked"] for r in s.collect()} == {(1, "lng"): False, (1, "ship"): True, (2, "lng"): True}
+    """Names are sought by broadcast words or through a shuffle, with the same results."""
+    a, t = catalog.CASE_ARTS.frame(spark), catalog.CASE_TAGS.frame(spark)
+    rows = [sorted(map(str, enrich.tag_details(a, t, "doc_id", most_tags=n).collect())) for n in (50_000, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) == 20
+    got = {(r["doc_id"], r["slug"]): (r["score"], r["blocked"]) for r in enrich.tag_details(a, t, "doc_id").collect()}
+    assert got[1, "grain-cargo"] == (6, None) and (2, "grain-cargo") not in got and got[6, "grain-cargo"][0] == 4 and got[7, "grain-cargo"][0] == 6
+    assert got[10, "russia-sanctions"][1] == "requires one of: sanctions, price cap" and got[13, "ports"][1] == "title has a false-context phrase"
+    assert (10, "t3") not in {tuple(r) for r in enrich.tag_ids(enrich.tag_details(a, t, "doc_id"), "doc_id").collect()}
 
 
 def test_streaks_and_medians(spark):
@@ -116,20 +110,17 @@ def test_streaks_and_medians(spark):
     assert (b["a"]["zero_streak"], b["a"]["error_streak"], b["a"]["median_found"], b["b"]["error_streak"]) == (10, 0, 0.0, 3)
     none = spark.createDataFrame([], "source_id string, published_at timestamp")
     f = {r["source_id"]: r["flags"] for r in monitor.flags(logs, none, F.lit("2026-02-01").cast("timestamp")).collect()}
-    assert f == {"a": "SILENT,SILENT_DEATH,CHRONIC_REJECTION", "b": "ERROR_STREAK"}
+    assert f == {"a": "SILENT_DEATH,SILENT,CHRONIC_REJECTION", "b": "ERROR_STREAK"}
     assert spark.createDataFrame([(1,), (2,), (3,), (4,)], "x long").select(monitor.upper_median(F.col("x"))).first()[0] == 3.0
 
 
 def test_rules(spark):
-    now = F.lit("2026-06-01").cast("timestamp")
-    ok = dict(idx=0, decision="would_insert", url="https://a.b/news-item-1", title="T", source_id="s" * 30, url_hash="a" * 32, published="2026-05-01", signal="rss", confidence="high", signals=2, raw_label="2026-05-01", excerpt="x" * 400)
-    bad = [{"url_hash": None, "title": None, "url": None}, {"title": " "}, {"url": "nope"}, {"source_id": "s"}, {"url_hash": "zz"}, {"published": "soon"}, {"published": "2027-01-01", "raw_label": "2027-01-01"}, {"url_hash": "a" * 32}, {"raw_label": None}, {"raw_label": "2026-05-02"}, {"raw_label": "2026-05-02T22:50:00+00:00"}, {"signal": "sitemap", "signals": 1}, {"excerpt": "x" * 401}, {"url": "https://a.b/News/"}, {"excerpt": "short"}]
-    rows = [ok | {"excerpt": "0" * 400}] + [ok | {"idx": i, "url_hash": f"{i:032x}", "excerpt": f"{i:03d}" + "y" * 400} | b for i, b in enumerate(bad, 1)]
-    rows.append(ok | {"idx": 99, "url_hash": "f" * 32, "excerpt": "x" * 402})
-    kind = "idx int, decision string, url string, title string, source_id string, url_hash string, published string, signal string, confidence string, signals int, raw_label string, excerpt string"
-    df = spark.createDataFrame([[r[c.split()[0]] for c in kind.split(", ")] for r in rows], kind)
-    got = sorted((r["idx"], r["rule"]) for r in validate.violations(df, now).collect())
-    assert got == sorted([(i, f"R{i}") for i in range(1, 16)] + [(99, "R13")])
+    """Every rule fires on its own cases and not on those beside them."""
+    got = {}
+    for r in catalog.rule_cases(spark, "").collect():
+        got.setdefault(r["rule"], set()).add(r["idx"])
+    want = {"R1": {1}, "R2": {3, 4}, "R3": {5, 6}, "R4": {8, 9}, "R5": {10, 11}, "R6": {12, 13}, "R7": {14}, "R8": {17}, "R9": {19, 20}, "R10": {22, 23, 24}, "R11": {27, 28}, "R12": {31, 33}, "R13": {37, 38}, "R14": {41, 44}}
+    assert {k: got.pop(k) for k in want} == want and got == {"R15": {35, 36, 37, 38, 40, 45, 47}}
 
 
 def test_feeds(spark):
@@ -139,7 +130,7 @@ def test_feeds(spark):
     got = sorted((r["link"], r["title"], r["excerpt"], r["published"], r["image"]) for r in feeds.feed_items(df).collect())
     assert got == [("https://a/1", "T & U", "A body with more than thirty characters.", "x", "i.png"), ("https://a/2", "B", "B", "2026", None)]
     p = spark.createDataFrame([("s", json.dumps([{"id": 1, "link": "l", "date_gmt": "2026-01-02T03:04:05", "title": {"rendered": "A &#8211; b"}, "excerpt": {"rendered": "<p>e</p>"}, "content": {"rendered": "c"}}]))], "site string, payload string")
-    assert tuple(feeds.posts(p).first())[3:6] == ("A – b", "e", "c")
+    assert tuple(feeds.posts(p).first())[3:6] == ("A – b", "", "2026-01-02T03:04:05Z")
     m = spark.createDataFrame([("i", "<sitemap><loc>a</loc><lastmod>2026-01-01</lastmod></sitemap><sitemap><loc>b</loc><lastmod>2026-02-01</lastmod></sitemap>")], "sitemap_url string, payload string")
     assert feeds.freshest_child(m).first()["child"] == "b"
 

@@ -100,12 +100,12 @@ SIGNALS = ["rss", "jsonld", "meta", "time", "sitemap", "body", "pdf"]
 
 def cascade(signals: dict[str, Column]) -> Column:
     """The first signal (a date) in the order of SIGNALS; high confidence where two or more agree, else
-    medium, and low for a sitemap's word alone. struct<day, signal, confidence, agreeing>."""
+    medium, and low for a sitemap that none agrees with. struct<day, signal, confidence, agreeing>."""
     own = [F.struct(F.lit(s).alias("signal"), signals[s].alias("day")) for s in SIGNALS if s in signals]
     given = F.filter(F.array(*own), lambda x: x["day"].isNotNull())
     first = F.try_element_at(given, F.lit(1))
     n = F.size(F.filter(given, lambda x: x["day"] == first["day"]))
-    sole = (F.size(given) == 1) & (first["signal"] == "sitemap")
+    sole = (n == 1) & (first["signal"] == "sitemap")
     return F.when(first.isNotNull(), F.struct(first["day"].alias("day"), first["signal"].alias("signal"), F.when(n >= 2, "high").when(sole, "low").otherwise("medium").alias("confidence"), n.alias("agreeing")))
 
 
@@ -115,3 +115,73 @@ def pdf_date(text: Column) -> Column:
     g = lambda i, least: F.coalesce(F.nullif(F.regexp_extract(text, p, i), F.lit("")), F.lit(least))
     iso = F.concat(g(1, "0000"), F.lit("-"), g(2, "01"), F.lit("-"), g(3, "01"), F.lit("T"), g(4, "00"), F.lit(":"), g(5, "00"), F.lit(":"), g(6, "00"), g(7, "+00"), F.lit(":"), g(8, "00"))
     return F.when(text.rlike(p), F.try_to_timestamp(iso))
+
+
+def native(text: Column) -> Column:
+    """Times with a zone or clock: ISO (UTC where no zone is given) and '29 May 2026 10:00[:00] [GMT|+0000]'."""
+    t = F.trim(text)
+    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\z"), F.try_to_timestamp(F.regexp_replace(t, r"([+-]\d{2})(\d{2})\z", "$1:$2")))
+    p = rf"(?i)^(?:[a-z]{{3,9}},?\s+)?(\d{{1,2}})\s+{_M}\.?\s+(\d{{4}})\s+(\d{{2}}:\d{{2}})(:\d{{2}})?\s*(?:GMT|UTC|Z)?([+-]\d{{2}})?:?(\d{{2}})?\z"
+    g = lambda i: F.regexp_extract(t, p, i)
+    made = F.concat(g(3), F.lit("-"), F.lpad(month_number(g(2)).cast("string"), 2, "0"), F.lit("-"), F.lpad(g(1), 2, "0"), F.lit("T"), g(4), F.when(g(5) == "", ":00").otherwise(g(5)), F.when(g(6) == "", "+00:00").otherwise(F.concat(g(6), F.lit(":"), g(7))))
+    return F.coalesce(iso, F.when(t.rlike(p), F.try_to_timestamp(made)))
+
+
+def try_parse(text: Column, now: Column) -> Column:
+    """One date string as a timestamp, not over 24 hours after now: an epoch in seconds or milliseconds; a date without a clock by its
+    notation, at midnight UTC; else a full time; else any date in it."""
+    t = F.trim(text)
+    late = lambda x: F.when(x <= now + F.expr("INTERVAL 24 HOURS"), x)
+    n = F.when(t.rlike(r"^\d{10,18}\z"), t).cast("long")
+    epoch = late(F.timestamp_millis(F.when(n < 10**12, n * 1000).otherwise(n)))
+    clock = t.rlike(r"\dT\d|\d:\d{2}") | t.rlike(r"(?:[+-]\d{2}:?\d{2}|Z)\z")
+    day = first_date(t, now).cast("timestamp")
+    return F.when(t == "", None).when(t.rlike(r"^\d{10,}\z"), epoch).when(~clock, F.coalesce(day, late(native(t)))).otherwise(F.coalesce(late(native(t)), day))
+
+
+STEPS = ["date_selector", "meta", "time_element_semantic", "body_labelled", "body_bare", "url_path_day", "url_slug_month", "time_element_loose", "title_fallback"]
+LABELLED = r"(?i)(?:Published|Posted|Date|Updated|Last\s+updated)\s*[:\-]?\s*([^.\n]{4,80})"
+LONG = "january february march april may june july august september october november december".split()
+
+
+def resolve(page: dict[str, Column], now: Column, title: Column | None = None, day_first: bool = False) -> Column:
+    """struct<at, source, confidence, step>: the best date of a page, of selector_datetime, selector_text, meta, json_ld, time_semantic, time_loose, body,
+    scope (the article's text without headings), link, and the title; see best_date for the order."""
+    no = F.lit(None).cast("string")
+    get = lambda k: page.get(k, no)
+    step = {s: i + 1 for i, s in enumerate(STEPS)}
+    one = lambda at, source, confidence, name: F.struct(at.cast("timestamp").alias("iso"), (source if isinstance(source, Column) else F.lit(source)).alias("source"), (confidence if isinstance(confidence, Column) else F.lit(confidence)).alias("confidence"), (name if isinstance(name, Column) else F.lit(name)).alias("name"))
+    shown = F.regexp_replace(get("selector_text"), r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$2-$1") if day_first else get("selector_text")
+    path = r"/(20\d{2})/(\d{1,2})(?:/(\d{1,2}))?/"
+    part = lambda i: F.regexp_extract(get("link"), path, i)
+    has_day = part(3) != ""
+    in_path = F.when(get("link").rlike(path), try_parse(F.concat(part(1), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(F.when(has_day, part(3)).otherwise("01"), 2, "0"), F.lit("T00:00:00Z")), now))
+    labelled = F.try_element_at(F.filter(F.transform(F.regexp_extract_all(get("body"), F.lit(LABELLED), F.lit(1)), lambda x: first_date(x, now)), lambda d: d.isNotNull()), F.lit(1))
+    lone = F.when(F.size(F.array_distinct(find_all_dates(get("scope")))) <= 1, "medium").otherwise("low")
+    slug = r"(?:^|[/\-])(" + "|".join(LONG) + r")-(20\d{2})(?:[/\-.]|\z)"
+    low = F.lower(get("link"))
+    month = make_date(F.regexp_extract(low, slug, 2).try_cast("int"), month_number(F.regexp_extract(low, slug, 1)), F.lit(1)).cast("timestamp")
+    month = F.when(month <= now + F.expr("INTERVAL 24 HOURS"), month)
+    every = F.array(
+        one(try_parse(get("selector_datetime"), now), "original", "high", "date_selector"), one(try_parse(shown, now), "original", "high", "date_selector"), one(first_date(shown, now), "original", "high", "date_selector"),
+        one(try_parse(get("meta"), now), "original", "high", "meta"), one(try_parse(get("json_ld"), now), "original", "high", "json_ld"), one(try_parse(get("time_semantic"), now), "original", "high", "time_element_semantic"), one(try_parse(get("time_loose"), now), "original", "low", "time_element_loose"),
+        one(in_path, F.when(has_day, "original").otherwise("scraper_default"), F.when(has_day, "medium").otherwise("low"), F.when(has_day, "url_path_day").otherwise("url_slug_month")),
+        one(labelled, "original", "high", "body_labelled"), one(first_date(get("scope"), now), "original", lone, "body_bare"), one(month, "scraper_default", "low", "url_slug_month"), one(first_date(title if title is not None else no, now), "scraper_default", "low", "title_fallback"),
+    )
+    place = F.create_map(*[F.lit(x) for kv in step.items() for x in kv])
+    rated = F.transform(every, lambda c, i: F.struct((-_rank(c["confidence"], CONFIDENCE)).alias("a"), (-_rank(c["source"], ORIGIN)).alias("b"), F.coalesce(place[c["name"]], F.lit(99)).alias("s"), i.alias("i"), c.alias("c")))
+    best = F.try_element_at(F.array_sort(F.filter(rated, lambda r: r["c"]["iso"].isNotNull())), F.lit(1))["c"]
+    return F.when(best.isNotNull(), F.struct(best["iso"].alias("at"), best["source"].alias("source"), best["confidence"].alias("confidence"), best["name"].alias("step")))
+
+
+PROVENANCE = {s: "original" for s in ("body_header_label", "jsonld_datePublished", "meta_article_published_time", "opengraph", "pdf_metadata_creation", "rss_pubdate", "sitemap_lastmod", "time_element_datetime", "time_element_text", "wire_header_date")} | {"unknown": "unknown", "url_slug_yyyy_mm": "body_repaired"}
+
+
+def db_provenance(source: Column) -> Column:
+    """The store's word for where a date came from."""
+    return F.create_map(*[F.lit(x) for kv in PROVENANCE.items() for x in kv])[source]
+
+
+def db_confidence(confidence: Column) -> Column:
+    """'none' becomes null, which rejects the row."""
+    return F.nullif(confidence, F.lit("none"))

@@ -100,18 +100,36 @@ def html_to_text(html: Column) -> Column:
 
 
 def canonical_url(url: Column, drop: list[str] = TRACKING) -> Column:
-    """A URL without tracking parameters, empty parameters, fragment and a final slash; scheme and host in
-    lower case, default ports gone. What isn't a URL is trimmed only."""
+    """A URL as a browser writes it, without tracking parameters, empty parameters, fragment and a final slash: scheme and host in
+    lower case, default ports and dot segments gone, odd characters of the path as UTF-8 percents, the query form-encoded anew.
+    What isn't a URL is trimmed only."""
     u = F.trim(url)
-    head = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1))
-    head = F.regexp_replace(F.regexp_replace(head, r"^(http://.*):80\z", "$1"), r"^(https://.*):443\z", "$1")
-    rest = F.regexp_replace(F.substring(u, F.length(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)) + 1, F.length(u) + 1), r"(?s)#.*\z", "")
-    path = F.regexp_extract(rest, r"^([^?]*)", 1)
-    params = F.filter(F.split(F.regexp_replace(rest, r"^[^?]*\??", ""), "&"), lambda p: p.rlike(r"^[^=]*=.") & ~F.regexp_extract(p, r"^([^=]*)", 1).isin(drop))
-    out = F.concat(head, path, F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(F.lit("")))
+    raw = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    head = F.regexp_replace(F.regexp_replace(F.lower(raw), r"^(http://.*):80\z", "$1"), r"^(https://.*):443\z", "$1")
+    rest = F.regexp_replace(F.substring(u, F.length(raw) + 1, F.length(u) + 1), r"(?s)#.*\z", "")
+    path = F.regexp_extract(rest, r"(?s)^([^?]*)", 1)
+    back = lambda x: F.coalesce(F.try_url_decode(x), x)
+    name = lambda p: back(F.regexp_extract(p, r"(?s)^([^=]*)", 1))
+    value = lambda p: back(F.regexp_replace(p, r"(?s)^[^=]*=?", ""))
+    params = F.filter(F.split(F.regexp_replace(rest, r"(?s)^[^?]*\??", ""), "&"), lambda p: (value(p) != "") & ~name(p).isin(drop))
+    params = F.transform(params, lambda p: F.concat(F.url_encode(name(p)), F.lit("="), F.url_encode(value(p))))
+    out = F.concat(head, _path(path), F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(F.lit("")))
     return F.when(head == "", u).otherwise(F.regexp_replace(out, r"/\z", ""))
 
 
+def _path(path: Column) -> Column:
+    chars = F.array_join(F.transform(F.split(path, ""), lambda c: F.when(c.rlike(r"^[!#-;=?-_a-z|~\\]*\z"), c).otherwise(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")))), "")
+    clean = F.when(path.rlike(r"[^!#-;=?-_a-z|~\\]"), chars).otherwise(path)
+    dots = lambda x: F.lower(F.replace(F.lower(x), F.lit("%2e"), F.lit(".")))
+    parts = F.split(clean, "/")
+    none = F.array().cast("array<string>")
+    step = lambda a, x: F.when(dots(x) == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).when(dots(x) == ".", a).otherwise(F.concat(a, F.array(x)))
+    last = F.element_at(parts, -1)
+    joined = F.aggregate(parts, none, step)
+    walked = F.concat(F.array_join(joined, "/"), F.when(dots(last).isin(".", "..") & (F.element_at(joined, -1) != ""), "/").otherwise(""))
+    return F.when(clean.rlike(r"(?i)(?:^|/)(?:\.|%2e){1,2}(?:/|\z)"), walked).otherwise(clean)
+
+
 def url_hash(url: Column) -> Column:
     return F.substring(F.sha2(canonical_url(url).cast("binary"), 256), 1, 32)
 
@@ -142,11 +160,14 @@ def build_excerpt(full: Column, feed: Column) -> Column:
     return F.when(F.length(full) > 200, full).when(F.length(feed) > 0, feed).otherwise(full)
 
 
-def trim_at(text: Column, markers: list[str]) -> Column:
-    """text up to the earliest of the markers (whatever their case)."""
-    at = F.array(*[F.locate(m.lower(), F.lower(text)) for m in markers])
-    first = F.array_min(F.filter(at, lambda x: x > 0))
-    return F.when(first.isNull(), text).otherwise(F.rtrim(F.substring(text, F.lit(1), first - 1)))
+#: Where a video's description ends: a line that begins so.
+TAILS = [r"\n(?:bluesky|discord|email|facebook|instagram|linkedin|patreon|tiktok|twitter|website|youtube)\s*:", r"\n#\w+(?:\s+#\w+)+", r"\n#supplychain", r"\nchapters?\s*:", r"\nfollow (?:me|on|us)", r"\njoin (?:my|our|the|this)",
+    r"\nmarine traffic\s*\n", r"\nsubscribe (?:for|here|now|to)", r"\nsupport (?:me|my|our|the|this|us)", r"\n0?0:00\s", r"\n(?:=+|-{3,})\s*\n"]
+
+
+def trim_description(text: Column, tails: list[str] = TAILS) -> Column:
+    """A video's description up to the earliest of the tails."""
+    return F.trim(F.regexp_replace(text, "(?is)(?:" + "|".join(tails) + r").*\z", ""))
 
 
 def strip_title_suffix(title: Column, sites: list[str]) -> Column:
@@ -186,24 +207,6 @@ def failure_kind(status: Column) -> Column:
     )
 
 
-def usable_title(title: Column) -> Column:
-    """A PDF title that says something: not a file or template name, a bare date or number, too short or page furniture."""
-    t = F.trim(F.coalesce(title, F.lit("")))
-    words = F.filter(F.split(t, r"\s+"), lambda w: w.rlike("[A-Za-z]{2}"))
-    bigrams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))), lambda i: F.array_join(F.slice(F.transform(words, lambda w: F.lower(w)), i, 2), " "))
-    junk = t.rlike(r"(?i)^(?:untitled|microsoft (?:word|powerpoint|excel)|powerpoint presentation|document\d*|slide \d+|layout \d+|template)\b") | t.rlike(r"(?i)\.(?:pdf|docx?|pptx?|xlsx?|indd|qxd)\s*\z") | t.rlike(r"^[\d\s./:\-]*\z")
-    dated = t.rlike(r"(?i)^\d{0,2}\s*(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s*\d{0,2},?\s*\d{4}\z") | t.rlike(r"(?i)^page\s+\d+")
-    return (F.length(t) >= 12) & (F.size(words) >= 3) & ~junk & ~dated & ~((F.size(words) >= 4) & (F.size(F.array_distinct(bigrams)) < F.size(words) - 1))
-
-
-def title_from_url(url: Column) -> Column:
-    """A title from a file's hyphenated name: at least 12 characters and two words, else null."""
-    name = F.regexp_replace(F.coalesce(F.try_url_decode(last_segment(url)), F.lit("")), r"\.[a-z0-9]{2,4}\z", "")
-    t = F.trim(F.regexp_replace(name, r"[-_+\s]+", " "))
-    words = F.filter(F.split(t, " "), lambda w: w.rlike("^[a-z]{2,}$"))
-    return F.when(url.rlike("^https?://") & (F.length(t) >= 12) & (F.size(words) >= 2), F.initcap(t))
-
-
 def sections(text: Column, least: int = 4000) -> Column:
     """Numbered sections 1, 2, 3 ... of a long text, with their headings and first 400 characters: the
     longest such run, of three or more; else no sections."""
@@ -221,3 +224,13 @@ def sections(text: Column, least: int = 4000) -> Column:
     )
     ok = (F.length(text) >= least) & (F.size(run) >= 3)
     return F.when(ok, F.transform(run, lambda h: F.struct(number(h).alias("number"), F.regexp_replace(h, r"^\d+[.)]\s+", "").alias("heading"), F.substring(text, F.position(h, text), F.lit(400)).alias("snippet"))))
+
+
+def label(code: Column, labels: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[code]
+
+
+def failure_summary(kinds: DataFrame) -> DataFrame:
+    """kind, n rows -> one text, kinds with the most failures first: 'forbidden×2, not_found×1'."""
+    each = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col("kind").alias("kind"))))
+    return kinds.agg(F.array_join(F.transform(each, lambda x: F.concat(x["kind"], F.lit("×"), (-x["m"]).cast("string"))), ", ").alias("summary"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,37 +95,90 @@ def keywords(title: Column, excerpt: Column, most: int = 5, stop: list[str] = L.
     return pick(F.substring(title, 1, 500), F.substring(excerpt, 1, 4000))
 
 
-def tag_scores(articles: DataFrame, tags: DataFrame, key: str, threshold: int = 4, broadcast_rows: int = 50_000) -> DataFrame:
-    """key, slug, score, areas: url 10, title phrase 6 or word 4, excerpt phrase 2 or word 1; score >= threshold.
+GAP = "[^A-Za-z0-9]"
+TAGS = "id string, slug string, name string, aliases array<string>, requires array<string>"
+
+
+def _quoted(word: str) -> str:
+    return "".join("\\" + c if c in r".*+?^${}()|[]\\" else c for c in word)
+
+
+def variant_rows(tags: list) -> list[tuple]:
+    """Tags -> (id, slug, requires, phrase, key, pattern in titles, pattern in excerpts), a row for each name and alias. key: the first
+    run of letters and digits, which a text must have as a word ('' where there is none: any text may match)."""
+    out = []
+    some = lambda x: [] if x is None else list(x)
+    for t in tags:
+        case = "" if t["slug"] in L.CASE_TAGS else "(?i)"
+        for raw in [t["name"], *some(t["aliases"])]:
+            words = (raw or "").split()
+            if not words:
+                continue
+            w = [_quoted(x) for x in words]
+            own = [f"{case}(?:^|{GAP})" + r"\s+".join(w) + f"(?=$|{GAP})"] * 2
+            if len(w) == 2:
+                for i, most in enumerate((35, 90)):
+                    for x, y in (w, w[::-1]):
+                        own[i] += f"|(?:^|{GAP}){x}(?=$|{GAP}).{{0,{most}}}(?:^|{GAP}){y}(?=$|{GAP})"
+            keys = [k for k in re.split(GAP, " ".join(words)) if k]
+            must = [f"(?i)(?:^|{GAP}){_quoted(r.strip())}(?=$|{GAP})" for r in some(t["requires"])]
+            note = "requires one of: " + ", ".join(some(t["requires"]))
+            out.append((t["id"], t["slug"], "|".join(must) or None, note, len(w) > 1, keys[0].lower() if keys else "", *own))
+    return out
+
+
+VARIANT = "id string, slug string, requires string, note string, phrase boolean, word string, in_title string, in_excerpt string"
+
+
+def url_tags(url: Column, rules: list[tuple[str, list[str]]] = L.URL_RULES) -> Column:
+    """Distinct slugs of the rules whose pattern the URL matches."""
+    found = [F.when(url.rlike(p), F.lit(slugs)) for p, slugs in rules]
+    return F.array_distinct(F.flatten(F.array_compact(F.array(*found))))
+
 
-    articles: key, url, title, excerpt. tags: slug, term, in lower case. A term matches where no ASCII letter or
-    digit is next to it. Up to broadcast_rows tags the tags are broadcast and tried on each article; beyond, articles
-    are exploded into their word sequences of up to three words and joined on them.
+def ruled_out(title: Column, contexts: list[tuple[str, list[str]]] = L.FALSE_CONTEXTS) -> Column:
+    """Slugs that the title's phrases forbid."""
+    found = [F.when(matches(title, [p]), F.lit(slugs)) for p, slugs in contexts]
+    return F.array_distinct(F.flatten(F.array_compact(F.array(*found))))
+
+
+def tag_details(articles: DataFrame, tags: DataFrame, key: str, threshold: int = 4, rules: list[tuple[str, list[str]]] = L.URL_RULES, contexts: list[tuple[str, list[str]]] = L.FALSE_CONTEXTS, most_tags: int = 50_000) -> DataFrame:
+    """key, id, slug, score, contributions (array of area and score), blocked (why the tag doesn't count, or null).
+
+    articles: key, url, title, excerpt. tags: TAGS. URL rule 10; title phrase 6 or word 4; excerpt phrase 2 or word 1, the best of a tag's
+    names in each area; score >= threshold. Two words also match within 35 characters in a title and 90 in an excerpt, in either order.
+    A tag is blocked by a false context in the title, or where none of its required terms is in title or excerpt.
+
+    An article meets only the names whose first word it has (a hash join on words, of a broadcast side of at most most_tags tags; more go
+    through a shuffle), not every tag; regexes run on these pairs alone, and only scores are grouped.
     """
-    phrase = F.instr("term", " ") > 0
-    squash = lambda c: F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " ")), F.lit(" "))
-    a = articles.select(key, squash(F.col("url")).alias("u"), squash(F.col("title")).alias("t"), squash(F.col("excerpt")).alias("e"))
-    need = F.concat(F.lit(" "), F.trim(F.regexp_replace("term", "[^a-z0-9]+", " ")), F.lit(" "))
-    n = tags.count()
-    if n <= broadcast_rows:
-        pairs = a.crossJoin(F.broadcast(tags.select("slug", "term", need.alias("need"))))
+    t = tags.select("id", "slug", "name", "aliases", "requires")
+    n = t.count()
+    if n <= most_tags:
+        v = tags.sparkSession.createDataFrame(variant_rows(t.collect()), VARIANT)  # bounded by most_tags
     else:
-        words = F.split(F.trim(F.concat("u", "t", "e")), " +")
-        grams = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda k: F.concat(F.lit(" "), F.array_join(F.slice(words, i, k), " "), F.lit(" ")))))
-        pairs = a.withColumn("need", F.explode(F.array_distinct(grams))).join(tags.select("slug", "term", need.alias("need")), "need")
-    url, title, text = F.contains("u", F.col("need")), F.contains("t", F.col("need")), F.contains("e", F.col("need"))
-    score = F.when(url, 10).otherwise(0) + F.when(title, F.when(phrase, 6).otherwise(4)).otherwise(0) + F.when(text, F.when(phrase, 2).otherwise(1)).otherwise(0)
-    areas = F.array_join(F.array_compact(F.array(F.when(url, F.lit("url")), F.when(title, F.lit("title")), F.when(text, F.lit("excerpt")))), "+")
-    best = pairs.filter(url | title | text).groupBy(key, "slug").agg(F.max(F.struct(score.alias("score"), areas.alias("areas"))).alias("b"))
-    return best.select(key, "slug", "b.score", "b.areas").filter(F.col("score") >= threshold)
-
-
-def suppress(found: DataFrame, key: str, contexts: DataFrame, needs: DataFrame | None = None) -> DataFrame:
-    """found with blocked: true where contexts (key, slug) suppresses the tag, or where needs (slug, other) names
-    others of which the article has none."""
-    out = found.join(contexts.select(key, "slug").distinct().withColumn("hit", F.lit(True)), [key, "slug"], "left").withColumn("blocked", F.coalesce("hit", F.lit(False))).drop("hit")
-    if needs is not None:
-        met = found.select(key, F.col("slug").alias("other")).join(needs, "other").select(key, "slug").distinct().withColumn("met", F.lit(True))
-        out = out.join(needs.select("slug").distinct().withColumn("wants", F.lit(True)), "slug", "left").join(met, [key, "slug"], "left")
-        out = out.withColumn("blocked", F.col("blocked") | (F.coalesce("wants", F.lit(False)) & F.col("met").isNull())).drop("wants", "met")
-    return out
+        v = t.mapInPandas(lambda fs: (pd.DataFrame(variant_rows(f.to_dict("records")), columns=[c.split()[0] for c in VARIANT.split(", ")]) for f in fs), VARIANT)
+    side = (lambda x: F.broadcast(x)) if n <= most_tags else (lambda x: x)
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    a = articles.select(key, text("url").alias("url"), text("title").alias("title"), text("excerpt").alias("excerpt"))
+    a = a.withColumn("out", ruled_out(F.col("title"), contexts)).withColumn("all", F.concat_ws("\n", "title", "excerpt"))
+    words = F.array_distinct(F.concat(F.split(F.lower(F.translate("all", "\u212a\u0130", "  ")), "[^a-z0-9]+"), F.array(F.lit(""))))
+    if n <= most_tags:  # only words that begin a name are exploded
+        known = sorted({r[0] for r in v.select("word").distinct().collect()})
+        words = F.array_intersect(words, F.lit(known)) if known else F.array().cast("array<string>")
+    pairs = a.withColumn("word", F.explode(words)).join(side(v), "word")
+    worth = lambda hit, phrase, word: F.when(hit, F.when(F.col("phrase"), phrase).otherwise(word)).otherwise(0)
+    met = F.col("requires").isNull() | F.regexp_like(F.col("all"), F.col("requires"))
+    gate = F.when(F.array_contains("out", F.col("slug")), "title has a false-context phrase").when(~met, F.col("note")).alias("gate")
+    in_text = pairs.select(key, "id", "slug", F.lit(0).alias("u"), worth(F.regexp_like(F.col("title"), F.col("in_title")), 6, 4).alias("t"), worth(F.regexp_like(F.col("excerpt"), F.col("in_excerpt")), 2, 1).alias("e"), gate)
+    tag = v.groupBy("id", "slug").agg(F.first("requires").alias("requires"), F.first("note").alias("note"))
+    in_url = a.withColumn("slug", F.explode(url_tags(F.col("url"), rules))).join(side(tag), "slug").select(key, "id", "slug", F.lit(10).alias("u"), F.lit(0).alias("t"), F.lit(0).alias("e"), gate)
+    s = in_text.filter("t > 0 or e > 0").unionByName(in_url).groupBy(key, "id", "slug").agg(F.max("u").alias("u"), F.max("t").alias("t"), F.max("e").alias("e"), F.max("gate").alias("blocked"))
+    s = s.withColumn("score", F.col("u") + F.col("t") + F.col("e")).filter(F.col("score") >= threshold)
+    parts = F.array(*[F.when(F.col(c) > 0, F.struct(F.lit(n_).alias("area"), F.col(c).alias("score"))) for c, n_ in (("u", "url"), ("t", "title"), ("e", "excerpt"))])
+    return s.select(key, "id", "slug", "score", F.array_compact(parts).alias("contributions"), "blocked")
+
+
+def tag_ids(details: DataFrame, key: str) -> DataFrame:
+    """key, id of the tags that count."""
+    return details.filter("blocked is null").select(key, "id")

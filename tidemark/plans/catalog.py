@@ -7,6 +7,7 @@ operators; only the pattern blocks are shared, in RE2's notation.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from tidemark.functions import dates, text
 from tidemark.functions import lexicons as L
 from tidemark.operators import dedup, enrich, gates, monitor, search, validate
 from tidemark.plans.ingest import account, judge
+from tidemark.plans.literal import Cases, Literal
 from tidemark.sources import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +138,9 @@ def run_baselines(spark, d):
     return monitor.baselines(logs(spark, d))
 
 
-PUB = f"""days AS (SELECT user_id AS source_id, ts::DATE AS day, count(*) AS n, max(ts) AS newest FROM events WHERE event_type IN ('signup', 'purchase') AND ts <= TIMESTAMP '{NOW}' GROUP BY ALL),
+EVENTS = f"""arts AS (SELECT user_id AS source_id, ts AS published_at, ts + INTERVAL 5 HOUR AS created_at, CASE WHEN value < 10 THEN 'scraper_default' ELSE 'original' END AS published_at_source, CASE WHEN value > 90 THEN 'hidden' ELSE 'visible' END AS content_quality, 'h' || event_id AS url_hash FROM events WHERE event_type IN ('signup', 'purchase'))"""
+PUB = f"""{EVENTS}, latest AS (SELECT source_id, published_at FROM arts WHERE published_at <= TIMESTAMP '{NOW}' AND published_at_source <> 'scraper_default' QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY published_at DESC) <= 120),
+days AS (SELECT source_id, published_at::DATE AS day, count(*) AS n, max(published_at) AS newest FROM latest GROUP BY ALL),
 gaps AS (SELECT *, date_diff('day', lag(day) OVER (PARTITION BY source_id ORDER BY day), day) AS gap FROM days),
 cad0 AS (SELECT source_id, sum(n)::BIGINT AS dates, count(*) AS days, coalesce(list_sort(list(gap) FILTER (gap IS NOT NULL))[count(gap) // 2 + 1], 0)::DOUBLE AS median_gap, max(newest) AS newest FROM gaps GROUP BY source_id),
 cad AS (SELECT *, CASE WHEN days < 6 THEN greatest(60.0, c) ELSE c END AS threshold FROM (SELECT *, greatest(3.0::DOUBLE, least(365.0::DOUBLE, 3 * median_gap)) AS c FROM cad0)),
@@ -144,7 +148,11 @@ pub AS (SELECT source_id, dates, days, median_gap, newest, threshold::DOUBLE AS
 
 
 def published(spark, d):
-    return table(spark, d, "events").filter(F.col("event_type").isin("signup", "purchase")).select(F.col("user_id").alias("source_id"), F.col("ts").cast("timestamp").alias("published_at"))
+    v = F.col("value")
+    return table(spark, d, "events").filter(F.col("event_type").isin("signup", "purchase")).select(
+        F.col("user_id").alias("source_id"), F.col("ts").cast("timestamp").alias("published_at"), (F.col("ts").cast("timestamp") + F.expr("INTERVAL 5 HOURS")).alias("created_at"),
+        F.when(v < 10, "scraper_default").otherwise("original").alias("published_at_source"), F.when(v > 90, "hidden").otherwise("visible").alias("content_quality"), F.concat(F.lit("h"), "event_id").alias("url_hash"),
+    )
 
 
 @query(f"WITH {PUB} SELECT * FROM pub")
@@ -152,16 +160,53 @@ def publish_gaps(spark, d):
     return monitor.publish_cadence(published(spark, d), now())
 
 
-@query(f"""WITH {BASE}, {PUB}, peak AS (SELECT source_id, max(found) > 0 AS peak_found FROM logs GROUP BY source_id),
-j AS (SELECT base.*, peak_found, coalesce(stale, coalesce((epoch_us(TIMESTAMP '{NOW}') - epoch_us(newest)) / 86400000000.0, 999) > 14) AS no_recent FROM base LEFT JOIN pub USING (source_id) JOIN peak USING (source_id)),
-f AS (SELECT *, error_streak >= 3 AS es, no_recent AND median_found = 0 AND runs >= 4 AS si, no_recent AND median_found >= 5 AND runs >= 2 AND latest_two_max < greatest(2, median_found * 0.3) AS fc, zero_streak >= 10 AND peak_found AS sd, found_sum >= 20 AND new_sum <= 2 AND reject_runs >= 3 AS cr FROM j)
-SELECT source_id, runs, found_sum, new_sum, reject_runs, median_found, zero_streak, error_streak, latest_two_max, last_started, no_recent, peak_found,
-  array_to_string(list_filter([CASE WHEN es THEN 'ERROR_STREAK' END, CASE WHEN si THEN 'SILENT' WHEN fc THEN 'FOUND_COLLAPSE' END, CASE WHEN sd THEN 'SILENT_DEATH' END, CASE WHEN cr THEN 'CHRONIC_REJECTION' END], lambda x: x IS NOT NULL), ',') AS flags,
-  CASE WHEN es OR si OR fc THEN 'critical' WHEN cr THEN 'chronic' ELSE 'none' END AS bucket FROM f""")
+LIVE = """live AS (SELECT user_id AS source_id, 'u' || event_id AS url, 'h' || event_id AS url_hash, ts + INTERVAL 20 HOUR AS published_at FROM events WHERE event_type = 'purchase' OR (event_type = 'view' AND value > 60)),
+shown AS (SELECT source_id, max(published_at) AS shown FROM live GROUP BY 1), missing AS (SELECT source_id, count(DISTINCT url) AS uncaptured FROM live WHERE NOT EXISTS (SELECT 1 FROM arts WHERE arts.source_id = live.source_id AND arts.url_hash = live.url_hash) GROUP BY 1)"""
+
+
+def _flag_sql(live: bool) -> str:
+    extra = (LIVE + ",") if live else "shown AS (SELECT NULL::BIGINT AS source_id, NULL::TIMESTAMP AS shown), missing AS (SELECT NULL::BIGINT AS source_id, 0 AS uncaptured),"
+    return f"""WITH {BASE}, {PUB}, {extra} peak AS (SELECT source_id, max(found) > 0 AS peak_found FROM logs GROUP BY source_id), cap AS (SELECT source_id, max(created_at) AS captured FROM arts GROUP BY 1),
+j AS (SELECT base.*, peak_found, coalesce(stale, coalesce(floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(captured)) / 86400000000.0 + 0.5), 999) > 14) AS no_recent, coalesce(uncaptured, 0)::BIGINT AS uncaptured, (epoch_us(shown) - epoch_us(newest)) / 3600000000.0 AS feed_lag
+  FROM base LEFT JOIN pub USING (source_id) JOIN peak USING (source_id) LEFT JOIN cap USING (source_id) LEFT JOIN shown USING (source_id) LEFT JOIN missing USING (source_id)),
+f AS (SELECT *, error_streak >= 3 AS es, no_recent AND median_found = 0 AND runs >= 4 AS si, no_recent AND median_found >= 5 AND runs >= 2 AND latest_two_max < greatest(2, median_found * 0.3) AS fc, zero_streak >= 10 AND peak_found AS sd, found_sum >= 20 AND new_sum <= 2 AND reject_runs >= 3 AS cr, coalesce(feed_lag > 12, false) AS fl FROM j)
+SELECT source_id, runs, found_sum, new_sum, reject_runs, median_found, zero_streak, error_streak, latest_two_max, last_started, no_recent, peak_found, uncaptured, feed_lag::DOUBLE AS feed_lag,
+  array_to_string(list_filter([CASE WHEN es THEN 'ERROR_STREAK' END, CASE WHEN sd THEN 'SILENT_DEATH' END, CASE WHEN si THEN 'SILENT' WHEN fc THEN 'FOUND_COLLAPSE' END, CASE WHEN cr THEN 'CHRONIC_REJECTION' END, CASE WHEN fl THEN 'FEED_LAG' END, CASE WHEN uncaptured >= 3 THEN 'UNCAPTURED_ITEMS' END], lambda x: x IS NOT NULL), ',') AS flags,
+  CASE WHEN es OR si OR fc OR fl THEN 'critical' WHEN cr THEN 'chronic' WHEN uncaptured >= 3 THEN 'gaps' ELSE 'none' END AS bucket FROM f"""
+
+
+@query(_flag_sql(False))
 def source_flags(spark, d):
     return monitor.flags(logs(spark, d), published(spark, d), now())
 
 
+@query(_flag_sql(True))
+def coverage_audit(spark, d):
+    """The flags with what the sources show now: feed lag and uncaptured items."""
+    e = table(spark, d, "events").filter("event_type = 'purchase' or (event_type = 'view' and value > 60)")
+    live = e.select(F.col("user_id").alias("source_id"), F.concat(F.lit("u"), "event_id").alias("url"), F.concat(F.lit("h"), "event_id").alias("url_hash"), (F.col("ts").cast("timestamp") + F.expr("INTERVAL 20 HOURS")).alias("published_at"))
+    return monitor.flags(logs(spark, d), published(spark, d), now(), live)
+
+
+SITE = Literal("newest timestamp, base_built timestamp", [(dt.datetime(2024, 1, 29), dt.datetime(2024, 1, 20))])
+
+
+@query(f"WITH {EVENTS}, {SITE.sql('site')}, s AS (SELECT max(published_at) AS stored FROM arts WHERE content_quality IN ('visible', 'pending') AND published_at_source <> 'scraper_default' AND published_at <= TIMESTAMP '{NOW}') SELECT (epoch_us(stored) - epoch_us(newest)) / 3600000000.0::DOUBLE AS feed_lag, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(base_built)) / 86400000000.0::DOUBLE AS base_age, CASE WHEN epoch_us(stored) - epoch_us(newest) > 14400000000 THEN 'FEED_STALE,' ELSE '' END || 'BASE_STALE' AS flags FROM site, s")
+def site_freshness(spark, d):
+    return monitor.site_freshness(SITE.frame(spark), published(spark, d), now())
+
+
+@query(f"WITH {EVENTS} SELECT source_id, count(*) AS n FROM arts WHERE content_quality IN ('visible', 'pending') AND published_at_source = 'scraper_default' AND abs(epoch_us(published_at) - epoch_us(created_at)) < 21600000000 GROUP BY 1")
+def date_integrity(spark, d):
+    return monitor.date_integrity(published(spark, d), 21_600).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {LOGS} SELECT source_id, count(*) FILTER (status = 'error' OR (status = 'running' AND epoch_us(TIMESTAMP '{NOW}') - epoch_us(started_at) > 1800000000)) AS errors, count(*) FILTER (status = 'running' AND epoch_us(TIMESTAMP '{NOW}') - epoch_us(started_at) > 1800000000) > 0 AS blocked FROM logs GROUP BY 1")
+def stuck_repair(spark, d):
+    fixed, blocked = monitor.repair_stuck(logs(spark, d), now())
+    return fixed.groupBy("source_id").agg(F.count_if(F.col("status") == "error").alias("errors")).join(blocked.withColumn("b", F.lit(True)), "source_id", "left").select("source_id", "errors", F.coalesce("b", F.lit(False)).alias("blocked"))
+
+
 @query("""SELECT s_suppkey AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN (SELECT user_id, max(ts) AS t FROM events GROUP BY 1) e ON e.user_id = s_suppkey
 WHERE s_acctbal > 0 AND (t IS NULL OR (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(t)) / 60000000.0 >= 0.8 * (1440 + 60 * n_nationkey))""")
 def due_sources(spark, d):
@@ -273,9 +318,22 @@ def summary(spark, d):
     return text.spread(table(spark, d, "documents")).select("doc_id", text.summary(F.col("text")).alias("summary"))
 
 
-@query()
+def _keyword_sql(most: int) -> str:
+    stop = ", ".join(q(x) for x in L.STOP_WORDS)
+    phrase, token = r"\b([A-Z][a-z]+(?:\s+(?:of\s+|the\s+)?[A-Z][a-z]+){1,3})\b", r"\b([A-Za-z][A-Za-z\-]+)\b"
+    of = lambda kind, part, col, p, w, base: f"SELECT doc_id, '{kind}' AS kind, unnest(regexp_extract_all({col}, '{p}', 1)) AS w, {base} + generate_subscripts(regexp_extract_all({col}, '{p}', 1), 1) AS pos, {w} AS worth, {part} AS part FROM a"
+    return f"""{ART}, a AS (SELECT doc_id, substr(title, 1, 500) AS t, substr(excerpt, 1, 4000) AS e FROM art),
+x AS ({of('phrase', 0, 't', phrase, 5, 0)} UNION ALL {of('phrase', 1, 'e', phrase, 1, 1000000)} UNION ALL {of('word', 0, 't', token, 5, 2000000)} UNION ALL {of('word', 1, 'e', token, 1, 3000000)}),
+covered AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(w), '\\s+')) AS w FROM x WHERE kind = 'phrase'),
+y AS (SELECT doc_id, kind, w, sum(worth) AS score, min(pos) AS pos FROM x WHERE kind = 'phrase' OR (length(w) >= 4 AND lower(w) NOT IN ({stop}) AND (part = 0 OR regexp_matches(w, '^[A-Z]')) AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.doc_id = x.doc_id AND c.w = lower(x.w))) GROUP BY ALL),
+z AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank FROM y),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(w) ORDER BY rank) AS nth FROM z),
+k AS (SELECT doc_id, list(w ORDER BY rank)[1:{most}] AS words FROM f WHERE nth = 1 GROUP BY doc_id)"""
+
+
+@query(f"WITH {_keyword_sql(5)} SELECT art.doc_id, coalesce(array_to_string(words, '|'), '') AS keywords FROM art LEFT JOIN k USING (doc_id)")
 def keywords(spark, d):
-    return articles(spark, d).select("doc_id", enrich.keywords(F.col("title"), F.col("excerpt")).alias("keywords"))
+    return articles(spark, d).select("doc_id", F.array_join(enrich.keywords(F.col("title"), F.col("excerpt")), "|").alias("keywords"))
 
 
 @query()
@@ -286,16 +344,57 @@ def content_terms(spark, d):
     return articles(spark, d).select("doc_id", F.when(reason.isNull(), terms).otherwise(F.array().cast("array<string>")).alias("terms"), reason.alias("reason"))
 
 
-TAGS = [("function", "the"), ("function", "der"), ("legal", "license"), ("legal", "apache license"), ("contact", "example"), ("article", "of the"), ("article", "de la")]
+TAG_KIND = "id string, slug string, name string, aliases array<string>, requires array<string>"
+
+
+def tag_sql(arts: str, tags: str) -> str:
+    """Every name of every tag tried on every article, by patterns without look-around."""
+    esc = r"regexp_replace(w, '([.*+?^${}()|\[\]\\])', '\\\1', 'g')"
+    case = ", ".join(q(x) for x in L.CASE_TAGS)
+    gap = lambda x, y, n: f"{x} || '(?:[^A-Za-z0-9]|[^A-Za-z0-9\\n].{{0,{n - 1}}}[^A-Za-z0-9])' || {y}"
+    near = lambda n: f"CASE WHEN len(ws) = 2 THEN '|' || {gap('ws[1]', 'ws[2]', n)} || '|' || {gap('ws[2]', 'ws[1]', n)} ELSE '' END"
+    rules = "[" + ", ".join(f"CASE WHEN {re('url', p)} THEN {sorted(v)} END" for p, v in L.URL_RULES) + "]"
+    out = "[" + ", ".join(f"CASE WHEN {re('title', '(?i)' + chr(92) + 'b(?:' + p + ')' + chr(92) + 'b')} THEN {sorted(v)} END" for p, v in L.FALSE_CONTEXTS) + "]"
+    return rf"""WITH {arts}, {tags},
+v0 AS (SELECT id, slug, requires, unnest(list_prepend(name, coalesce(aliases, []))) AS raw FROM tags),
+v1 AS (SELECT id, slug, requires, len(string_split(trim(raw), ' ')) > 1 AS ph, list_transform(string_split(trim(raw), ' '), lambda w: {esc}) AS ws, CASE WHEN slug IN ({case}) THEN '' ELSE '(?i)' END AS flag FROM v0),
+v AS (SELECT *, flag || '(?:^|[^A-Za-z0-9])(?:' || array_to_string(ws, '\s+') || {near(35)} || ')(?:$|[^A-Za-z0-9])' AS pt, flag || '(?:^|[^A-Za-z0-9])(?:' || array_to_string(ws, '\s+') || {near(90)} || ')(?:$|[^A-Za-z0-9])' AS pe FROM v1),
+a AS (SELECT *, list_distinct(flatten(list_filter({rules}, lambda x: x IS NOT NULL))) AS own, flatten(list_filter({out}, lambda x: x IS NOT NULL)) AS ruled, title || chr(10) || excerpt AS everything FROM arts),
+m AS (SELECT doc_id, id, v.slug, max(CASE WHEN list_contains(own, v.slug) THEN 10 ELSE 0 END) AS u, max(CASE WHEN regexp_matches(title, pt) THEN CASE WHEN ph THEN 6 ELSE 4 END ELSE 0 END) AS t, max(CASE WHEN regexp_matches(excerpt, pe) THEN CASE WHEN ph THEN 2 ELSE 1 END ELSE 0 END) AS e,
+  max(CASE WHEN list_contains(ruled, v.slug) THEN 'title has a false-context phrase' WHEN len(requires) > 0 AND len(list_filter(requires, lambda r: regexp_matches(everything, '(?i)(?:^|[^A-Za-z0-9])' || regexp_replace(r, '([.*+?^${{}}()|\[\]\\])', '\\\1', 'g') || '(?:$|[^A-Za-z0-9])'))) = 0 THEN 'requires one of: ' || array_to_string(requires, ', ') END) AS blocked
+  FROM a, v GROUP BY ALL)
+SELECT doc_id, id, slug, (u + t + e)::INT AS score, concat_ws('+', CASE WHEN u > 0 THEN 'url:' || u END, CASE WHEN t > 0 THEN 'title:' || t END, CASE WHEN e > 0 THEN 'excerpt:' || e END) AS areas, coalesce(blocked, '') AS blocked FROM m WHERE u + t + e >= 4"""
+
+
+def tag_rows(articles_: DataFrame, tags: DataFrame) -> DataFrame:
+    x = enrich.tag_details(articles_, tags, "doc_id")
+    return x.select("doc_id", "id", "slug", F.col("score").cast("int").alias("score"), F.array_join(F.transform("contributions", lambda c: F.concat(c["area"], F.lit(":"), c["score"].cast("string"))), "+").alias("areas"), F.coalesce("blocked", F.lit("")).alias("blocked"))
+
 
+PROSE_TAGS = Literal(TAG_KIND, [("1", "function", "the", ["der"], None), ("2", "legal", "license", ["apache license"], ["version", "Lizenz"]), ("3", "contact", "example", [], None), ("4", "article", "of the", ["de la"], None), ("5", "abs", "ABS", ["Ships"], None), ("6", "apart", "and that", None, None), ("7", "sign", "&", ["P&I"], [])])
 
-@query(f"""WITH {ART}, tags AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in TAGS)}) t(slug, term)),
-x AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS u, ' ' || trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS t, ' ' || trim(regexp_replace(lower(excerpt), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ' AS e FROM art),
-m AS (SELECT doc_id, slug, contains(u, ' ' || term || ' ') AS hu, contains(t, ' ' || term || ' ') AS ht, contains(e, ' ' || term || ' ') AS he, contains(term, ' ') AS ph FROM x, tags)
-SELECT doc_id, slug, max(hu::INT * 10 + ht::INT * (CASE WHEN ph THEN 6 ELSE 4 END) + he::INT * (CASE WHEN ph THEN 2 ELSE 1 END))::INT AS score FROM m GROUP BY ALL HAVING score >= 4""")
+
+@query(tag_sql(f"arts AS (SELECT doc_id, coalesce(source, '') AS url, title, excerpt FROM ({ART.removeprefix('art AS (')})", PROSE_TAGS.sql("tags")))
 def tag_scores(spark, d):
-    a = articles(spark, d).withColumn("url", F.coalesce("source", F.lit("")))
-    return enrich.tag_scores(a, spark.createDataFrame(TAGS, "slug string, term string"), "doc_id").select("doc_id", "slug", "score")
+    return tag_rows(articles(spark, d).withColumn("url", F.coalesce("source", F.lit(""))), PROSE_TAGS.frame(spark))
+
+
+CASE_TAGS = Literal(TAG_KIND, [
+    ("t1", "grain-cargo", "grain cargo", ["cereals"], None), ("t2", "abs", "ABS", ["American Bureau"], None), ("t3", "russia-sanctions", "Russia", ["Russia sanctions"], ["sanctions", "price cap"]), ("t4", "ports", "pilot", ["port call"], None),
+    ("t5", "lng-bunkering", "LNG bunkering", ["gas"], []), ("t6", "loss-prevention", "loss prevention", None, None), ("t7", "risk-watch", "risk watch", None, None), ("t8", "pi", "P&I", ["protection and indemnity club"], None), ("t9", "odd", "C++ (fast)", None, None),
+])
+CASE_ARTS = Literal("doc_id long, url string, title string, excerpt string", [
+    (1, "", "grain" + "." * 34 + " cargo", ""), (2, "", "grain" + "." * 36 + " cargo", ""), (3, "", "cargo " + "x" * 34 + " grain", ""), (4, "", "cargo " + "x" * 35 + " grain", "cereals"), (5, "", "x", "grain " + "y" * 89 + " cargo"), (6, "", "Cereals here", "grain " + "y" * 90 + " cargo"),
+    (7, "", "Cereals", "cargo " + "y" * 89 + " grain"), (8, "", "abs rules", "ABS"), (9, "", "ABS rules", "abs"), (10, "", "Russia talks", "nothing else"), (11, "", "Russia talks", "a Price Cap follows"), (12, "", "Russia sanctions bite", "Russia sanctions"),
+    (13, "", "A pilot project at sea", "pilot"), (14, "", "The pilot boards", ""), (15, "", "Gas station fire", "LNG bunkering"), (16, "", "class-action suit against ABS", ""), (17, "https://www.skuld.com/topics/port/piracy/x", "t", "e"), (18, "https://britanniapandi.com/category/risk-watch/a", "Loss prevention", "risk watch"),
+    (19, "https://www.westpandi.com/news?topics=sanctions", "Quiet", "day"), (20, "", "P&I renewal", "the P&I club"), (21, "", "engrained cargo", "grains cargo"), (22, "", "Using C++ (fast) code", ""), (23, "", "grain\ncargo", "cereals, cereals"), (24, "", "Protection and\tindemnity club", None),
+])
+
+
+@query(tag_sql(CASE_ARTS.sql("arts0") + ", arts AS (SELECT doc_id, url, title, coalesce(excerpt, '') AS excerpt FROM arts0)", CASE_TAGS.sql("tags")))
+def tag_cases(spark, d):
+    """Proximity at its limits in both orders, aliases, case, false contexts, required terms, URL rules."""
+    return tag_rows(CASE_ARTS.frame(spark), CASE_TAGS.frame(spark))
 
 
 @query(f"WITH {HASH} SELECT count(*) AS missing, count(DISTINCT url_hash) AS hashes FROM h WHERE url_hash NOT IN (SELECT url_hash FROM h WHERE url NOT LIKE '%?%')")
@@ -362,14 +461,81 @@ def accounting(spark, d):
     return account(judge(raw_rows(spark, d), known))
 
 
-@query(f"""WITH {HASH}, o AS (SELECT doc_id AS idx, text AS excerpt, md5(text) AS h, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS nth, CASE WHEN length(text) >= 250 THEN count(*) OVER (PARTITION BY substr(text, 1, 250)) END AS same FROM documents WHERE text IS NOT NULL),
-v AS (SELECT 'R4' AS rule FROM o UNION ALL SELECT 'R8' FROM o WHERE nth > 1 UNION ALL SELECT 'R13' FROM o WHERE same >= 2 UNION ALL SELECT 'R15' FROM o WHERE length(excerpt) < 400),
-n AS (SELECT rule, count(*) AS c FROM v GROUP BY 1), r AS (SELECT 'R' || i AS rule FROM range(1, 16) t(i)) SELECT r.rule, coalesce(c, 0) AS failures FROM r LEFT JOIN n ON n.rule = r.rule""")
+OUTCOME = "idx int, decision string, detected_url string, date_signals array<string>, raw_label string, parsed string, url string, title string, source_id string, url_hash string, published string, confidence string, excerpt string"
+
+
+def _outcomes() -> list[tuple]:
+    """One good outcome, and for each rule some that break it and some that just don't."""
+    fine = dict(idx=0, decision="would_insert", detected_url="d", date_signals=["rss_pubdate", "jsonld_datePublished"], raw_label="Fri, 29 May 2026 10:00:00 +0000", parsed="2026-05-29T10:00:00.000Z", url="https://a.b/news/a-slug-1", title="T", source_id="s" * 30, url_hash="", published="2026-05-29T10:00:00.000Z", confidence="high", excerpt="")
+    none = dict.fromkeys(("url", "title", "source_id", "url_hash", "published", "confidence", "excerpt"))
+    iso = "2026-05-24T22:50:02+00:00"
+    changes = [
+        {}, none, none | {"decision": "duplicate"}, {"title": "  "}, {"title": None}, {"url": "no scheme"}, {"url": "https://"}, {"url": "mailto:x"}, {"source_id": "s" * 29}, {"source_id": None}, {"url_hash": "A" * 32}, {"url_hash": None}, {"published": None, "raw_label": None, "date_signals": ["jsonld_datePublished"]},
+        {"published": "29 May 2026"}, {"published": "2026-06-02T01:00:00Z", "date_signals": []}, {"published": "2026-06-01T23:00:00Z", "date_signals": []}, {"url_hash": "0" * 32}, {"url_hash": "0" * 32}, {"url_hash": "0" * 32, "decision": "duplicate"}, {"raw_label": None}, {"raw_label": None, "date_signals": ["jsonld_datePublished", "rss_pubdate"]}, {"raw_label": None, "date_signals": ["jsonld_datePublished"]},
+        {"raw_label": "Thu, 28 May 2026 23:00:00 GMT"}, {"raw_label": "May 28, 2026"}, {"raw_label": "2026-05-28"}, {"raw_label": "28/05/2026"}, {"raw_label": "May 28, 2026", "date_signals": ["jsonld_datePublished", "rss_pubdate"]}, {"raw_label": iso, "parsed": "2026-05-25T00:00:00Z"}, {"raw_label": iso, "parsed": "2026-05-25T00:00:00Z", "decision": "rejected"},
+        {"raw_label": iso, "parsed": "2026-05-25T00:00:00Z", "date_signals": ["meta", "rss_pubdate"]}, {"raw_label": "2026-05-24T22:50:02-0300", "parsed": "2026-05-25T01:50:02Z"}, {"date_signals": ["sitemap_lastmod"], "raw_label": None, "confidence": "medium"}, {"date_signals": ["sitemap_lastmod"], "raw_label": None, "confidence": "low"}, {"date_signals": ["sitemap_lastmod"], "raw_label": None, "confidence": "high", "decision": "duplicate"},
+        {"date_signals": ["sitemap_lastmod", "meta"], "raw_label": None}, {"excerpt": "x" * 249}, {"excerpt": "x" * 249}, {"excerpt": "y" * 250 + "1"}, {"excerpt": "y" * 250 + "2"}, {"excerpt": "y" * 250, "decision": "rejected"}, {"excerpt": "z" * 250}, {"url": "https://a.b/x/News/"}, {"url": "https://a.b/news/x?y=/tags"}, {"url": "https://a.b/"}, {"url": "https://a.b/videos#f"}, {"excerpt": "v" * 399}, {"excerpt": "w" * 400}, {"excerpt": None},
+    ]
+    out = []
+    for i, c in enumerate(changes):
+        r = fine | {"idx": i, "url_hash": f"{i + 1:032x}", "excerpt": f"{i:05d}" + "e" * 400} | c
+        out.append(tuple(r.values()))
+    return out
+
+
+OUTCOMES = Literal(OUTCOME, _outcomes())
+LAST = r"lower(regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*', ''), '([^/]+)/*$', 1))"
+MONTH_NO = "list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower({}))"
+
+
+def _rule_sql(outcomes: str) -> str:
+    mon = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+    p1, p2 = rf"\b(\d{{1,2}})\s+{mon}[a-z]*\.?\s+(\d{{4}})\b", rf"\b{mon}[a-z]*\.?\s+(\d{{1,2}}),?\s+(\d{{4}})\b"
+    part = lambda p, y, m, d: f"regexp_extract(raw_label, '{p}', {y}) || '-' || lpad({MONTH_NO.format(f'regexp_extract(raw_label, {q(p)}, {m})')}::VARCHAR, 2, '0') || '-' || lpad(regexp_extract(raw_label, '{p}', {d}), 2, '0')"
+    landing = ", ".join(q(x) for x in L.LANDING)
+    return rf"""WITH {outcomes},
+o AS (SELECT *, decision = 'would_insert' AND NOT (title IS NULL AND url IS NULL AND url_hash IS NULL) AS live, coalesce(raw_label, '') <> '' AS lab, coalesce(date_signals[1] IN ('rss_pubdate', 'sitemap_lastmod'), false) AS disc, coalesce(regexp_matches(trim(raw_label), 'T\d{{2}}:\d{{2}}(?::\d{{2}}(?:\.\d+)?)?(?:Z|[+-]\d{{2}}:?\d{{2}})$'), false) AS zoned,
+  CASE WHEN regexp_matches(raw_label, '{p1}') THEN {part(p1, 3, 2, 1)} WHEN regexp_matches(raw_label, '{p2}') THEN {part(p2, 3, 1, 2)} ELSE nullif(regexp_extract(raw_label, '\b(\d{{4}}-\d{{2}}-\d{{2}})\b', 1), '') END AS raw_day FROM outcomes),
+v AS (SELECT idx, detected_url, 'R1' AS rule FROM o WHERE decision = 'would_insert' AND NOT live
+ UNION ALL SELECT idx, detected_url, 'R2' FROM o WHERE live AND trim(coalesce(title, '')) = ''
+ UNION ALL SELECT idx, detected_url, 'R3' FROM o WHERE live AND NOT (CASE WHEN regexp_matches(url, '(?i)^(?:https?|ftp|wss?):') THEN regexp_matches(url, '(?i)^[a-z]+:/*[^/\s?#]') ELSE regexp_matches(url, '(?i)^[a-z][a-z0-9+.-]*:') END)
+ UNION ALL SELECT idx, detected_url, 'R4' FROM o WHERE live AND length(coalesce(source_id, '')) < 30
+ UNION ALL SELECT idx, detected_url, 'R5' FROM o WHERE live AND NOT coalesce(regexp_full_match(url_hash, '[0-9a-f]{{32}}'), false)
+ UNION ALL SELECT idx, detected_url, 'R6' FROM o WHERE live AND NOT coalesce(regexp_matches(published, '^\d{{4}}-\d{{2}}-\d{{2}}'), false)
+ UNION ALL SELECT idx, detected_url, 'R7' FROM o WHERE live AND try_cast(published AS TIMESTAMPTZ) > TIMESTAMPTZ '2026-06-02 00:00:00+00'
+ UNION ALL SELECT idx, detected_url, 'R8' FROM (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY idx) AS nth FROM o WHERE live AND coalesce(url_hash, '') <> '') WHERE nth > 1
+ UNION ALL SELECT idx, detected_url, 'R9' FROM o WHERE live AND list_contains(date_signals, 'rss_pubdate') AND NOT lab
+ UNION ALL SELECT idx, detected_url, 'R10' FROM o WHERE live AND lab AND disc AND NOT zoned AND raw_day <> nullif(regexp_extract(published, '^(\d{{4}}-\d{{2}}-\d{{2}})', 1), '')
+ UNION ALL SELECT idx, detected_url, 'R11' FROM o WHERE lab AND disc AND zoned AND strftime(try_cast(regexp_replace(trim(raw_label), '([+-]\d{{2}})(\d{{2}})$', '\1:\2') AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%d') <> nullif(regexp_extract(parsed, '^(\d{{4}}-\d{{2}}-\d{{2}})', 1), '')
+ UNION ALL SELECT idx, detected_url, 'R12' FROM o WHERE NOT (title IS NULL AND url IS NULL AND url_hash IS NULL) AND date_signals = ['sitemap_lastmod'] AND confidence IN ('medium', 'high')
+ UNION ALL SELECT idx, detected_url, 'R13' FROM (SELECT *, count(*) OVER (PARTITION BY substr(excerpt, 1, 250)) AS same FROM o WHERE live AND length(excerpt) >= 250) WHERE same >= 2
+ UNION ALL SELECT idx, detected_url, 'R14' FROM o WHERE live AND {LAST} IN ({landing})
+ UNION ALL SELECT idx, detected_url, 'R15' FROM o WHERE live AND length(coalesce(excerpt, '')) < 400)"""
+
+
+def _rules(x: DataFrame) -> DataFrame:
+    return validate.violations(x, F.lit("2026-06-01").cast("timestamp"))
+
+
+@query(_rule_sql(OUTCOMES.sql("outcomes")) + " SELECT idx, rule FROM v")
+def rule_cases(spark, d):
+    return _rules(OUTCOMES.frame(spark)).select("idx", "rule")
+
+
+DOC_OUTCOMES = """outcomes AS (SELECT doc_id AS idx, CASE WHEN doc_id % 11 = 0 THEN 'duplicate' ELSE 'would_insert' END AS decision, 'd' AS detected_url, [CASE doc_id % 3 WHEN 0 THEN 'rss_pubdate' WHEN 1 THEN 'sitemap_lastmod' ELSE 'meta' END] AS date_signals, CASE WHEN doc_id % 4 > 0 THEN '2026-05-' || (10 + doc_id % 15)::VARCHAR || CASE WHEN doc_id % 4 = 1 THEN 'T22:30:00-03:00' ELSE '' END END AS raw_label,
+ '2026-05-' || (10 + doc_id % 16)::VARCHAR AS parsed, 'https://a.b/' || CASE WHEN doc_id % 9 = 0 THEN 'news' ELSE 'x' || doc_id END AS url, CASE WHEN doc_id % 13 > 0 THEN 'A title' END AS title, source AS source_id, md5(text) AS url_hash, '2026-05-' || (10 + doc_id % 16)::VARCHAR AS published, CASE WHEN doc_id % 2 = 0 THEN 'low' ELSE 'medium' END AS confidence, text AS excerpt FROM documents WHERE text IS NOT NULL)"""
+
+
+@query(_rule_sql(DOC_OUTCOMES) + ", n AS (SELECT rule, count(*) AS c FROM v GROUP BY 1), r AS (SELECT 'R' || i AS rule FROM range(1, 16) t(i)) SELECT r.rule, coalesce(c, 0) AS failures FROM r LEFT JOIN n ON n.rule = r.rule")
 def rule_failures(spark, d):
-    x = table(spark, d, "documents").filter("text is not null")
-    o = x.select(F.col("doc_id").alias("idx"), F.lit("would_insert").alias("decision"), F.concat(F.lit("https://example.org/a/x"), "doc_id").alias("url"), F.lit("A title").alias("title"), F.col("source").alias("source_id"), F.md5(F.col("text").cast("binary")).alias("url_hash"),
-        F.lit("2024-01-02").alias("published"), F.lit("rss").alias("signal"), F.lit("high").alias("confidence"), F.lit(2).alias("signals"), F.lit("2024-01-02").alias("raw_label"), F.col("text").alias("excerpt"))
-    return validate.failure_counts(validate.violations(o, now()))
+    i = F.col("doc_id")
+    day = lambda n: F.concat(F.lit("2026-05-"), (i % n + 10).cast("string"))
+    o = table(spark, d, "documents").filter("text is not null").select(
+        i.alias("idx"), F.when(i % 11 == 0, "duplicate").otherwise("would_insert").alias("decision"), F.lit("d").alias("detected_url"), F.array(F.when(i % 3 == 0, "rss_pubdate").when(i % 3 == 1, "sitemap_lastmod").otherwise("meta")).alias("date_signals"),
+        F.when(i % 4 > 0, F.concat(day(15), F.when(i % 4 == 1, "T22:30:00-03:00").otherwise(""))).alias("raw_label"), day(16).alias("parsed"), F.concat(F.lit("https://a.b/"), F.when(i % 9 == 0, "news").otherwise(F.concat(F.lit("x"), i))).alias("url"), F.when(i % 13 > 0, "A title").alias("title"),
+        F.col("source").alias("source_id"), F.md5(F.col("text").cast("binary")).alias("url_hash"), day(16).alias("published"), F.when(i % 2 == 0, "low").otherwise("medium").alias("confidence"), F.col("text").alias("excerpt"),
+    )
+    return validate.failure_counts(_rules(o))
 
 
 @query()
@@ -385,8 +551,11 @@ def sitemap_scan(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from tidemark.plans import cases  # noqa: F401 - adds its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

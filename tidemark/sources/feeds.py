@@ -12,7 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import html_to_text, https
+from tidemark.functions.text import html_to_text, https, strip_cache_bust
+from tidemark.operators.gates import gate_reason
+from tidemark.operators.outcomes import selected_text
 
 ITEM = "feed_url string, position int, link string, title string, body string, published string, image string, author string"
 
@@ -58,28 +60,35 @@ def feed_items(payloads: DataFrame) -> DataFrame:
 
 
 def posts(payloads: DataFrame) -> DataFrame:
-    """(site, payload) with a JSON array of REST posts -> a row a post; GMT dates get their Z."""
+    """(site, payload) with a JSON array of REST posts -> a row for each that has a link and a title. GMT dates get their Z where it is missing; an excerpt
+    that fails the gate is '', others have at most 500 characters; terms come from content or excerpt."""
     kind = "array<struct<id: long, link: string, date_gmt: string, title: struct<rendered: string>, excerpt: struct<rendered: string>, content: struct<rendered: string>>>"
     p = payloads.select("site", F.explode(F.from_json("payload", kind)).alias("p"))
-    return p.select("site", "p.id", "p.link", html_to_text(F.col("p.title.rendered")).alias("title"), F.substring(html_to_text(F.col("p.excerpt.rendered")), 1, 500).alias("excerpt"), F.substring(html_to_text(F.col("p.content.rendered")), 1, 4000).alias("content"), F.concat("p.date_gmt", F.lit("Z")).alias("published_at"))
+    plain = lambda c: F.coalesce(html_to_text(F.col(c)), F.lit(""))
+    p = p.select("site", "p.id", "p.link", plain("p.title.rendered").alias("title"), plain("p.excerpt.rendered").alias("short"), plain("p.content.rendered").alias("content"), F.col("p.date_gmt").alias("gmt")).filter("link is not null and link <> '' and title <> ''")
+    x = p.withColumn("sel", selected_text(F.col("title"), F.col("content"), F.col("short")))
+    excerpt = F.when(gate_reason(F.col("title"), F.col("short")).isNull(), F.substring("short", 1, 500)).otherwise("")
+    when = F.when(F.col("gmt").rlike("[Zz]$"), F.col("gmt")).otherwise(F.concat("gmt", F.lit("Z")))
+    return x.select("site", "id", strip_cache_bust(F.col("link")).alias("link"), "title", excerpt.alias("excerpt"), when.alias("published_at"), F.lit("original").alias("published_at_source"), F.lit("high").alias("published_at_confidence"), "sel.text_source", "sel.content_terms", "sel.gate_reason")
 
 
 def sitemap_entries(payloads: DataFrame, pattern: str | None = None) -> DataFrame:
-    """(sitemap_url, payload) -> sitemap_url, loc, lastmod of leaf entries, newest first in each; no or bad dates last."""
-    block = F.explode(F.regexp_extract_all("payload", F.lit(r"(?s)<url>(.*?)</url>"), F.lit(1)))
-    x = payloads.select("sitemap_url", block.alias("b")).select("sitemap_url", F.trim(F.regexp_extract("b", r"(?s)<loc>\s*(.*?)\s*</loc>", 1)).alias("loc"), F.try_to_timestamp(F.nullif(F.regexp_extract("b", r"<lastmod>\s*(.*?)\s*</lastmod>", 1), F.lit(""))).alias("lastmod"))
+    """(sitemap_url, payload) -> sitemap_url, loc, lastmod, nth of leaf entries, newest first in each; no or bad dates last, ties as they stand."""
+    block = F.posexplode(F.regexp_extract_all("payload", F.lit(r"(?s)<url>(.*?)</url>"), F.lit(1))).alias("at", "b")
+    x = payloads.select("sitemap_url", block).select("sitemap_url", "at", F.trim(F.regexp_extract("b", r"(?s)<loc>\s*(.*?)\s*</loc>", 1)).alias("loc"), F.try_to_timestamp(F.nullif(F.regexp_extract("b", r"<lastmod>\s*(.*?)\s*</lastmod>", 1), F.lit(""))).alias("lastmod"))
     x = x.filter(F.col("loc") != "")
     if pattern:
         x = x.filter(F.col("loc").rlike(pattern))
-    w = Window.partitionBy("sitemap_url").orderBy(F.desc_nulls_last("lastmod"), "loc")
-    return x.withColumn("nth", F.row_number().over(w))
+    w = Window.partitionBy("sitemap_url").orderBy(F.desc_nulls_last("lastmod"), "at")
+    return x.withColumn("nth", F.row_number().over(w)).drop("at")
 
 
 def freshest_child(payloads: DataFrame) -> DataFrame:
-    """(sitemap_url, payload) of sitemap indexes -> sitemap_url, child: the child with the latest date."""
-    block = F.explode(F.regexp_extract_all("payload", F.lit(r"(?s)<sitemap>(.*?)</sitemap>"), F.lit(1)))
-    x = payloads.select("sitemap_url", block.alias("b")).select("sitemap_url", F.regexp_extract("b", r"(?s)<loc>\s*(.*?)\s*</loc>", 1).alias("loc"), F.coalesce(F.try_to_timestamp(F.nullif(F.regexp_extract("b", r"<lastmod>\s*(.*?)\s*</lastmod>", 1), F.lit(""))), F.lit("1970-01-01").cast("timestamp")).alias("at"))
-    return x.groupBy("sitemap_url").agg(F.max_by("loc", "at").alias("child"))
+    """(sitemap_url, payload) of sitemap indexes -> sitemap_url, child: the child with the latest date, the first of equals."""
+    block = F.posexplode(F.regexp_extract_all("payload", F.lit(r"(?s)<sitemap>(.*?)</sitemap>"), F.lit(1))).alias("at", "b")
+    when = F.coalesce(F.try_to_timestamp(F.nullif(F.regexp_extract("b", r"<lastmod>\s*(.*?)\s*</lastmod>", 1), F.lit(""))), F.lit("1970-01-01").cast("timestamp"))
+    x = payloads.select("sitemap_url", block).select("sitemap_url", F.regexp_extract("b", r"(?s)<loc>\s*(.*?)\s*</loc>", 1).alias("loc"), F.struct(when.alias("when"), (-F.col("at")).alias("at")).alias("key"))
+    return x.groupBy("sitemap_url").agg(F.max_by("loc", "key").alias("child"))
 
 
 SKIP = {"aside", "button", "figcaption", "footer", "form", "head", "header", "iframe", "nav", "noscript", "script", "style", "svg"}
