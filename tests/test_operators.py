@@ -167,3 +167,47 @@ def test_stream_equals_batch(spark, tmp_path):
         ingest(spark, landed, "url string", store, str(tmp_path / "cp")).awaitTermination()
         assert spark.read.parquet(store).count() == (2, 3)[i]
     assert sorted(r[0] for r in spark.read.parquet(store).select("url").collect()) == ["https://a/1", "https://a/2", "https://a/3"]
+
+
+def test_source_state_over_batches(spark, tmp_path):
+    """Streaks go on from batch to batch, and a late run doesn't end them."""
+    from tidemark.streaming.ingest import track_sources
+
+    kind, landed = "source_id string, started_at timestamp, status string, found long", str(tmp_path / "runs")
+    hour = lambda h: dt.datetime(2026, 1, 1, h)
+    for rows in ([("a", hour(1), "success", 4), ("a", hour(2), "error", 0)], [("a", hour(3), "error", 0), ("b", hour(3), "success", 0), ("a", hour(0), "success", 9)]):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(landed)
+    q = track_sources(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(landed)).writeStream.format("memory").queryName("state").outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r["source_id"]: (r["runs"], r["zero_streak"], r["error_streak"], r["peak_found"]) for r in spark.table("state").orderBy("runs").collect()}
+    assert got == {"a": (4, 2, 2, True), "b": (1, 1, 0, False)}
+
+
+def test_apply_reads_back_what_it_wrote(spark, tmp_path):
+    from tidemark.operators import outcomes
+
+    x = spark.createDataFrame([(f"https://a/{i}", f"s{i % 2}", "T", dt.datetime(2026, 1, 1), "rss_pubdate", "high", "would_insert" if i < 4 else "rejected") for i in (0, 1, 2, 2, 3, 5)], "url string, source_id string, title string, published_at timestamp, published_at_source string, published_at_confidence string, decision string")
+    x = x.withColumn("url_hash", text.url_hash(F.col("url")))
+    store, audit = str(tmp_path / "store"), str(tmp_path / "audit")
+    first = outcomes.apply_report(x.filter("url <> 'https://a/3'"), store, audit + "1", "b1")
+    again = outcomes.apply_report(x, store, audit + "2", "b2")
+    assert first == {"attempted": 4, "inserted": 3, "skipped": 1, "failed": 0} and again == {"attempted": 5, "inserted": 1, "skipped": 4, "failed": 0}
+    assert outcomes.apply_report(x, store, audit + "2", "b2") == again  # repeated, it writes the same
+    assert [r["url"] for r in spark.read.json(audit + "2").collect()] == ["https://a/3"]
+
+
+def test_patterns_are_tried_wherever_they_can_match(spark):
+    """The words that can begin a pattern lose no match: each pattern against texts made from itself."""
+    import random
+    import re as regex
+
+    from tidemark.functions import lexicons as L
+
+    rng = random.Random(5)
+    every = [p for _, ps in L.CATEGORIES.values() for p in ps] + L.MARITIME + L.SPAM + L.CTA + L.LOCKED + L.JUNK_PHRASES
+    simple = lambda p: regex.sub(r"[\\^$~=]", "", regex.sub(r"\(\?:([^|()]*)[^()]*\)", r"\1", p))
+    texts = [f"x {simple(p).replace('s*', ' ').replace('s+', ' ').replace('?', '')} y" for p in every] + [" ".join(rng.choices("tanker port sinks sinking imo IMO 12,345 teu crude carrier P&I oil spill mepc 80 sign up alert".split(), k=6)) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    f = text.Finder(every)
+    got = df.select("t", text.let(f.read(F.col("t")), lambda x: F.array(*[f.has(x, p) for p in every])).alias("g"), F.array(*[F.col("t").rlike(L.java_pattern(p)) for p in every]).alias("w")).collect()
+    assert all(r["g"] == r["w"] for r in got) and sum(map(sum, (r["w"] for r in got))) > 300

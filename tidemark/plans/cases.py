@@ -3,6 +3,7 @@ the rules, so that query and SQL share nothing. And the store's operators over t
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import Column
@@ -13,7 +14,7 @@ from tidemark.functions import lexicons as L
 from tidemark.operators import enrich, gates, lookups, monitor, outcomes, search
 from tidemark.plans.catalog import HASH, LOGS, QUERIES, SQL, logs, now, query, table
 from tidemark.plans.literal import Cases, Literal
-from tidemark.sources import feeds, pages
+from tidemark.sources import feeds, pages, registry
 
 
 def cases(name: str, kind: str, f, rows: list[tuple]) -> None:
@@ -409,3 +410,25 @@ def union_cases(spark, d):
     return feeds.union_sources({"rss": feeds.feed_items(spark.createDataFrame([("u", FEED)], "feed_url string, payload string")), "rest": feeds.posts(spark.createDataFrame([("s", POSTS)], "site string, payload string"))}).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
 
 
+
+
+SOURCES = Literal("source_id string, enabled boolean, runner string, mode string, url_pattern string, max_items int, jobs array<string>, last_group int, last_scraped_at timestamp, scrape_interval_minutes int", [
+    ("r", True, None, "rss", None, 5, ["x"], 0, None, 60), ("p", True, "big", "rest", "/1$", None, ["x", "y"], 3, dt.datetime(2026, 7, 15, 9, 0), 75), ("m", True, None, "sitemap", None, 2, [], None, dt.datetime(2026, 7, 15, 9, 13), 60), ("l", True, "small", "html_list", None, 3, ["x", "y"], -1, None, 60), ("c", False, None, "cards", None, 2, [], 0, None, 60)])
+PAYLOADS = Literal("source_id string, url string, payload string", [("r", "u", FEED), ("p", "u", POSTS), ("m", "u", MAP), ("l", "https://c.d/l", LISTS.rows[-1][3]), ("c", "https://a.b/l/", CARDS.rows[0][2])])
+
+
+@expect("discovery_cases", "source_id string, path string, url string", [("r", "rss", "https://a/1"), ("r", "rss", "https://a/2"), ("p", "rest", "https://a/1"), ("m", "sitemap", "https://a/new"), ("m", "sitemap", "https://a/old"), *[("l", "html_list", f"https://c.d/i{i}") for i in range(3)], ("c", "cards", "https://a.b/c0"), ("c", "cards", "https://a.b/c1")])
+def discovery_cases(spark, d):
+    return registry.discover(SOURCES.frame(spark), PAYLOADS.frame(spark)).select("source_id", "path", "url")
+
+
+@expect("chosen_sources", "source_id string, turn string", [("r", "x"), ("p", "y")])
+def chosen_sources(spark, d):
+    """Due at 0.8 of the interval; of one runner; the job group by rotation."""
+    return registry.chosen(SOURCES.frame(spark), at(NOON), "big").select("source_id", F.col("jobs_now").alias("turn"))
+
+
+cases("pdf_split_cases", "url string, titles array<string>", lambda u, t: F.array_join(F.transform(pdf.split_rows(u, t, F.transform(t, lambda x: F.nullif(x, F.lit("-")))), lambda r: F.concat_ws("|", r["part"].cast("string"), r["url"], r["title"])), ";"), [
+    ("https://a/x.pdf", ["One", "-", "Three"], "1|https://a/x.pdf?part=1|One;3|https://a/x.pdf?part=3|Three"), ("https://a/x.pdf?v=1", ["One", "Two"], "1|https://a/x.pdf?v=1&part=1|One;2|https://a/x.pdf?v=1&part=2|Two"), ("https://a/x.pdf", ["One", "-", "-", "-"], None), ("https://a/x.pdf", ["One", "Two", "-", "-", "-"], None), ("https://a/x.pdf", ["One"], None)])
+cases("media_cases", "url string, kind string", lambda u, k: F.concat_ws("/", pages.media_type(k), pages.is_pdf(u, k).cast("string")), [("https://a/x", "application/pdf; charset=x", "application/pdf/true"), ("https://a/x.PDF?y", "text/html", "text/html/true"), ("https://a/x.pdf.html", None, "/false")])
+cases("page_url_cases", "url string", lambda u: F.array_join(F.concat(pages.page_urls(u, 3), pages.page_urls(u, 2, "https://t/{n}")), " "), [("https://a/l/", "https://a/l/ https://a/l/page/2/ https://a/l/page/3/ https://a/l/ https://t/2")])
