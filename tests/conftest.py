@@ -10,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    s = SparkSession.builder.master("local[4]").config(map={"spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"}).getOrCreate()
+    s = SparkSession.builder.master("local[4]").config(map={"spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     return s
