@@ -172,7 +172,7 @@ def trim_description(text: Column, tails: list[str] = TAILS) -> Column:
 
 def strip_title_suffix(title: Column, sites: list[str]) -> Column:
     names = "|".join(F_escape(s) for s in sites)
-    x = F.regexp_replace(title, r"\s+\|\s+[^|]*\z", "")
+    x = F.regexp_replace(title, r"\s*\|\s*[A-Z][A-Za-z0-9 &.'\-]{2,40}\z", "")
     return F.trim(F.regexp_replace(x, rf"(?i)\s+[-–—]\s+(?:{names})\s*\z", "")) if names else F.trim(x)
 
 
@@ -207,23 +207,35 @@ def failure_kind(status: Column) -> Column:
     )
 
 
+HEADING = r"^(\d+)[.)]\s+(.{8,200})$"
+NAMED = r"(?i)^(?:article|chapter|issue|item|part|section|topic|update)\s+(\d+)\s*[:.\-—]\s*(.{4,200})$"
+FURNITURE = r"(?i)^(?:\d+ of \d+|all rights reserved|confidential|copyright|internal use only|page \d+|www\.|©)"
+
+
 def sections(text: Column, least: int = 4000) -> Column:
-    """Numbered sections 1, 2, 3 ... of a long text, with their headings and first 400 characters: the
-    longest such run, of three or more; else no sections."""
-    found = F.regexp_extract_all(text, F.lit(r"(?m)^\s*(\d{1,2})[.)]\s+([A-Z][^\n]{3,100})$"), F.lit(0))
-    number = lambda x: F.regexp_extract(x, r"(\d{1,2})", 1).cast("int")
-    start = F.struct(F.array().cast("array<string>").alias("best"), F.array().cast("array<string>").alias("now"))
-    keep = lambda best, now: F.when(F.size(now) > F.size(best), now).otherwise(best)
-    run = F.aggregate(
-        found, start,
-        lambda a, x: F.struct(
-            keep(a["best"], a["now"]).alias("best"),
-            F.when(number(x) == F.size(a["now"]) + 1, F.concat(a["now"], F.array(F.trim(x)))).when(number(x) == 1, F.array(F.trim(x))).otherwise(F.array().cast("array<string>")).alias("now"),
-        ),
-        lambda a: keep(a["best"], a["now"]),
-    )
-    ok = (F.length(text) >= least) & (F.size(run) >= 3)
-    return F.when(ok, F.transform(run, lambda h: F.struct(number(h).alias("number"), F.regexp_replace(h, r"^\d+[.)]\s+", "").alias("heading"), F.substring(text, F.position(h, text), F.lit(400)).alias("snippet"))))
+    """array<struct<number, heading, snippet>>: the sections of a text of `least` characters or more, by its longest run of headings numbered 1, 2, 3 ... (the
+    first of equals, three or more; '1. Title' or 'Section 1: Title'), each with the first 400 characters up to the next; else null."""
+    kind = "array<struct<n: int, at: int, title: string>>"
+
+    def runs(lines: Column) -> Column:
+        def heading(x: Column, i: Column) -> Column:
+            p = F.when(x.rlike(HEADING), F.struct(F.regexp_extract(x, HEADING, 1).alias("n"), F.regexp_extract(x, HEADING, 2).alias("t"))).when(x.rlike(NAMED), F.struct(F.regexp_extract(x, NAMED, 1).alias("n"), F.regexp_extract(x, NAMED, 2).alias("t")))
+            return F.when(p.isNotNull() & ~x.rlike(FURNITURE), F.struct(p["n"].try_cast("int").alias("n"), i.alias("at"), F.trim(p["t"]).alias("title")))
+
+        found = F.filter(F.transform(lines, heading), lambda h: h.isNotNull() & h["n"].isNotNull())
+        none = F.array().cast(kind)
+        longer = lambda best, now: F.when(F.size(now) > F.size(best), now).otherwise(best)
+        step = lambda a, h: F.struct(longer(a["best"], a["now"]).alias("best"), F.when((F.size(a["now"]) > 0) & (h["n"] == F.size(a["now"]) + 1), F.concat(a["now"], F.array(h))).when(h["n"] == 1, F.array(h)).otherwise(none).alias("now"))
+        return F.aggregate(found, F.struct(none.alias("best"), none.alias("now")), step, lambda a: longer(a["best"], a["now"]))
+
+    def rows(x: Column) -> Column:
+        end = lambda i: F.coalesce(F.try_element_at(x["run"], i + 2)["at"], F.size(x["lines"]))
+        body = lambda h, i: F.array_join(F.filter(F.slice(x["lines"], h["at"] + 2, F.greatest(F.lit(0), end(i) - h["at"] - 1)), lambda y: y != ""), " ")
+        return F.transform(x["run"], lambda h, i: F.struct(h["n"].alias("number"), h["title"].alias("heading"), F.coalesce(F.nullif(F.substring(body(h, i), 1, 400), F.lit("")), h["title"]).alias("snippet")))
+
+    lines = F.transform(F.split(text, r"\r?\n"), trim)
+    got = let(lines, lambda x: let(F.struct(x.alias("lines"), runs(x).alias("run")), lambda y: F.when(F.size(y["run"]) >= 3, rows(y))))
+    return F.when(F.length(text) >= least, got)
 
 
 def label(code: Column, labels: dict[str, str]) -> Column:

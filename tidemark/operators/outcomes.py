@@ -121,3 +121,8 @@ def selected_text(title: Column, content: Column, excerpt: Column, most: int = 1
 
 def limit_each(df: DataFrame, by: str, order: list, most: int) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col("_n") <= most).drop("_n")
+
+
+def bulk_insert(df: DataFrame, url: str, table: str, chunk: int = 200, properties: dict[str, str] | None = None) -> None:
+    """Appends to a JDBC table, `chunk` rows a statement; a statement fails as a whole."""
+    df.write.option("batchsize", chunk).jdbc(url, table, "append", properties or {})

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, pdf, text
 from tidemark.functions import lexicons as L
 from tidemark.operators import enrich, gates, lookups, monitor, outcomes, search
-from tidemark.plans.catalog import HASH, LOGS, QUERIES, SQL, logs, now, query, table
+from tidemark.plans.catalog import ART, HASH, LOGS, QUERIES, SQL, any_re, articles, logs, now, query, table
+from tidemark.plans.ingest import judge
 from tidemark.plans.literal import Cases, Literal
 from tidemark.sources import feeds, pages, registry
 
@@ -432,3 +433,45 @@ cases("pdf_split_cases", "url string, titles array<string>", lambda u, t: F.arra
     ("https://a/x.pdf", ["One", "-", "Three"], "1|https://a/x.pdf?part=1|One;3|https://a/x.pdf?part=3|Three"), ("https://a/x.pdf?v=1", ["One", "Two"], "1|https://a/x.pdf?v=1&part=1|One;2|https://a/x.pdf?v=1&part=2|Two"), ("https://a/x.pdf", ["One", "-", "-", "-"], None), ("https://a/x.pdf", ["One", "Two", "-", "-", "-"], None), ("https://a/x.pdf", ["One"], None)])
 cases("media_cases", "url string, kind string", lambda u, k: F.concat_ws("/", pages.media_type(k), pages.is_pdf(u, k).cast("string")), [("https://a/x", "application/pdf; charset=x", "application/pdf/true"), ("https://a/x.PDF?y", "text/html", "text/html/true"), ("https://a/x.pdf.html", None, "/false")])
 cases("page_url_cases", "url string", lambda u: F.array_join(F.concat(pages.page_urls(u, 3), pages.page_urls(u, 2, "https://t/{n}")), " "), [("https://a/l/", "https://a/l/ https://a/l/page/2/ https://a/l/page/3/ https://a/l/ https://t/2")])
+
+
+cases("suffix_cases", "title string", lambda t: text.strip_title_suffix(t, ["gCaptain", "Splash 247"]), [("Ship sinks | Some Site", "Ship sinks"), ("Ship sinks - gCaptain", "Ship sinks"), ("Ship sinks - again", "Ship sinks - again"), ("A | b", "A | b")])
+cases("named_section_cases", "body string", lambda b: F.array_join(F.transform(text.sections(b), lambda s: F.concat_ws(":", s["number"].cast("string"), s["heading"], s["snippet"])), "|"), [
+    ("Section 1: Hull\nfirst\n\nPage 3\nPart 2 - Cargo\nItem 3. Crew here\n" + "x" * 4000, "1:Hull:first Page 3|2:Cargo:Cargo|3:Crew here:" + "x" * 400), ("1. Wrong start\n2. Second one\n1. Heading one\n2. Heading two\n3. Heading three\n" + "y" * 4000, "1:Heading one:Heading one|2:Heading two:Heading two|3:Heading three:" + "y" * 400)])
+
+
+@expect("detail_cases", "page_id long, title string, excerpt string, image string, author string", [(1, "Head", "Body text here.", "https://a.b/i.png", "Ann"), (2, "Only tag", "x y", "https://a.b/p.jpg", None), (3, None, "", None, None)])
+def detail_cases(spark, d):
+    rows = [(1, "https://a.b/1", '<head><title>T | Site</title><meta name="author" content="Ann"><meta name="twitter:image" content="/i.png"></head><body><h1> Head </h1><div class="c">Body <span class="promo">buy</span>text here.</div></body>'), (2, "https://a.b/2", '<title>Only tag | Some Site</title><body><main><p class="c">x</p><p class="c">y</p><img src="p.jpg"></main></body>'), (3, "https://a.b/3", None)]
+    return pages.details(spark.createDataFrame(rows, "page_id long, url string, html string"), [], content=".c", exclude=".promo")
+
+
+@expect("prose_cases", "page_id long, mode string, size int", [(1, "paragraphs", 624), (2, "broad", 9), (3, "none", 0)])
+def prose_cases(spark, d):
+    rows = [(1, "<article><p>" + "word " * 61 + "end ok.</p><p>short.</p><p>" + "More " * 60 + "stop now.</p></article>"), (2, "<body><nav>menu</nav><p>Tiny.</p><div class='related'>x</div>more</body>"), (3, None)]
+    return pages.article_texts(spark.createDataFrame(rows, "page_id long, html string")).select("page_id", "mode", F.length("text").alias("size"))
+
+
+@query(f"""WITH {ART}, s AS (SELECT doc_id, {", ".join(f"{any_re('title || chr(10) || substr(excerpt, 1, 400)', p)} AS s{i}" for i, p in enumerate(L.SEGMENTS.values()))} FROM art)
+SELECT doc_id, concat_ws(',', {", ".join(f"CASE WHEN s{i} THEN '{n}' END" for i, n in enumerate(L.SEGMENTS) if n in ("tanker", "container"))}) AS kept, {" + ".join(f"(NOT s{i})::INT" for i, n in enumerate(L.SEGMENTS) if n in ("tanker", "container"))} AS dropped FROM s""")
+def segment_rederivation(spark, d):
+    """Stored segments that a new reading still finds stay, in their order; the others are dropped."""
+    none = F.lit(None).cast("string")
+    old = F.array(F.lit("tanker"), F.lit("container"))
+    x = articles(spark, d).select("doc_id", old.alias("old"), enrich.segments(F.col("title"), F.col("excerpt"), none, none).alias("new"))
+    return x.select("doc_id", F.array_join(lookups.reclassified(F.col("old"), F.col("new")), ",").alias("kept"), F.size(F.array_except("old", "new")).alias("dropped"))
+
+
+@query(f"WITH {LOGS} SELECT source_id, run_id, status, found FROM logs QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY started_at DESC, run_id DESC) = 1")
+def latest_run(spark, d):
+    return monitor.latest(logs(spark, d), 1).select("source_id", "run_id", "status", "found")
+
+
+UNDATED = Literal("source_id string, url string, title string, excerpt string, published_at timestamp, require_date boolean, date_fallback boolean", [
+    ("a", "https://a/1", "Report of June 2026", GOOD, None, True, True), ("a", "https://a/2", "No month in here", GOOD, None, True, True), ("b", "https://a/3", "No month in here", GOOD, None, False, None), ("c", "https://a/4", "No month in here", GOOD, None, None, None), ("c", "https://a/5", "A dated headline", GOOD, dt.datetime(2026, 1, 1), None, None), ("d", "https://a/6", "No month in here", GOOD, None, False, True)])
+
+
+@expect("undated_cases", "url string, outcome string, day string, published_at_source string", [("https://a/1", "inserted", "2026-06-30", "scraper_default"), ("https://a/2", "rejected_no_date", None, None), ("https://a/3", "inserted", None, None), ("https://a/4", "rejected_no_date", None, None), ("https://a/5", "inserted", "2026-01-01", None), ("https://a/6", "rejected_no_date", None, None)])
+def undated_cases(spark, d):
+    raw = UNDATED.frame(spark).withColumn("source_name", F.col("source_id")).withColumn("category_hint", F.lit(None).cast("string")).withColumn("trust", F.lit("trusted"))
+    return judge(raw, None, at(NOON)).select("url", "outcome", F.to_date("published_at").cast("string").alias("day"), "published_at_source")

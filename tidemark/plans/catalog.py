@@ -336,12 +336,27 @@ def keywords(spark, d):
     return articles(spark, d).select("doc_id", F.array_join(enrich.keywords(F.col("title"), F.col("excerpt")), "|").alias("keywords"))
 
 
-@query()
+def _term_sql() -> str:
+    bare = r"list_transform(regexp_split_to_array(w, '\s+'), lambda v: regexp_replace(lower(v), '[^a-z0-9]', '', 'g'))"
+    norm = lambda x: rf"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+    names = ", ".join(q(x) for x in gates.CONNECTORS)
+    return rf"""{_keyword_sql(45)},
+g AS (SELECT doc_id, title, {tr('excerpt')} AS t, list_filter(regexp_extract_all(title, '[A-Za-z][A-Za-z0-9''-]*'), lambda w: length(w) > 3) AS ws FROM art),
+gate AS (SELECT doc_id, title, CASE WHEN length(t) < 25 THEN 'too-short' WHEN {any_re('substr(t, 1, 150)', L.BOILERPLATE)} THEN 'boilerplate' WHEN len(ws) >= 3 AND len(list_filter(ws, lambda w: contains(lower(t), lower(w)))) = 0 THEN 'no-title-overlap' END AS reason FROM g),
+u AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM k),
+v AS (SELECT u.*, {bare} AS b, {norm('w')} AS nw, ' ' || {norm('title')} || ' ' AS nt, reason, list_filter(regexp_split_to_array(w, '\s+'), lambda y: NOT list_contains([{names}], lower(y))) AS main, len(regexp_split_to_array(w, '\s+')) AS n FROM u JOIN gate USING (doc_id)),
+ok AS (SELECT * FROM v WHERE reason IS NULL AND NOT list_has_any(b, [{", ".join(q(x) for x in gates.STOP_TERMS)}]) AND NOT list_contains([{", ".join(q(x) for x in gates.STOP_FIRST)}], b[1]) AND NOT (nw <> '' AND contains(nt, ' ' || nw || ' '))
+  AND CASE WHEN n = 1 THEN (regexp_full_match(w, '[A-Za-z0-9][A-Za-z0-9&.\-]*') AND length(regexp_replace(w, '[^A-Z]', '', 'g')) >= 2) OR regexp_full_match(w, '[A-Z][a-z]{{2,}}') ELSE len(main) BETWEEN 1 AND 3 AND len(list_filter(main, lambda y: regexp_matches(y, '^[A-Z]'))) = len(main) END),
+l AS (SELECT doc_id, list(w ORDER BY pos)[1:15] AS terms FROM ok GROUP BY doc_id)
+SELECT gate.doc_id, coalesce(array_to_string(terms, '|'), '') AS terms, reason FROM gate LEFT JOIN l USING (doc_id)"""
+
+
+@query(f"WITH {_term_sql()}")
 def content_terms(spark, d):
     t, e = F.col("title"), F.col("excerpt")
     reason = gates.gate_reason(t, e)
     terms = F.slice(gates.filter_terms(t, enrich.keywords(t, e, 45)), 1, 15)
-    return articles(spark, d).select("doc_id", F.when(reason.isNull(), terms).otherwise(F.array().cast("array<string>")).alias("terms"), reason.alias("reason"))
+    return articles(spark, d).select("doc_id", F.when(reason.isNull(), F.array_join(terms, "|")).otherwise("").alias("terms"), reason.alias("reason"))
 
 
 TAG_KIND = "id string, slug string, name string, aliases array<string>, requires array<string>"
@@ -454,11 +469,12 @@ def raw_rows(spark, d):
 
 
 @query(f"""WITH {ART}, x AS (SELECT source AS source_id, doc_id, lang, {tr('title')} AS t, {tr('excerpt')} AS e, 'https://example.org/a/' || doc_id AS u, doc_id IN (SELECT doc_id FROM labels) AS known FROM art),
-y AS (SELECT source_id, CASE WHEN known THEN 'd' WHEN {_reason_sql()} IS NOT NULL THEN 'q' WHEN lang = 'de' THEN 'n' ELSE 'i' END AS o FROM x)
-SELECT source_id, count(*) AS found, count(*) FILTER (o = 'i') AS inserted, count(*) FILTER (o = 'd') AS duplicates, count(*) FILTER (o = 'q') AS rejected_quality, count(*) FILTER (o = 'n') AS rejected_no_date, 0::BIGINT AS unexplained, 'success' AS status FROM y GROUP BY 1""")
+y AS (SELECT source_id, doc_id, CASE WHEN known THEN 'd' WHEN {_reason_sql()} IS NOT NULL THEN 'q' WHEN lang = 'de' THEN 'n' ELSE 'i' END AS o FROM x),
+z AS (SELECT source_id, count(*) AS found, count(*) FILTER (o = 'i' AND doc_id % 10 > 0) AS inserted, count(*) FILTER (o = 'd') AS duplicates, count(*) FILTER (o = 'q') AS rejected_quality, count(*) FILTER (o = 'n') AS rejected_no_date, count(*) FILTER (o = 'i' AND doc_id % 10 = 0) AS insert_failed, count(*) FILTER (o = 'i' AND doc_id % 40 = 1) AS ai_errors FROM y GROUP BY 1)
+SELECT *, 0::BIGINT AS unexplained, CASE WHEN ai_errors > 0 AND inserted > 0 THEN 'partial' ELSE 'success' END AS status FROM z""")
 def accounting(spark, d):
     known = table(spark, d, "labels").select(text.url_hash(F.concat(F.lit("https://example.org/a/"), "doc_id")).alias("url_hash"))
-    return account(judge(raw_rows(spark, d), known))
+    return account(judge(raw_rows(spark, d), known).withColumn("insert_failed", F.col("doc_id") % 10 == 0).withColumn("ai_error", F.col("doc_id") % 40 == 1))
 
 
 OUTCOME = "idx int, decision string, detected_url string, date_signals array<string>, raw_label string, parsed string, url string, title string, source_id string, url_hash string, published string, confidence string, excerpt string"

@@ -56,7 +56,7 @@ def feed_items(payloads: DataFrame) -> DataFrame:
 
     x = payloads.select("feed_url", "payload").mapInPandas(run, ITEM)
     text = F.substring(html_to_text(F.col("body")), 1, 2000)
-    return x.withColumn("title", html_to_text(F.col("title"))).withColumn("excerpt", F.when(F.length(text) < 30, F.col("title")).otherwise(text)).drop("body")
+    return x.withColumn("title", html_to_text(F.col("title"))).withColumn("excerpt", F.when(F.length(text) < 30, F.col("title")).otherwise(text)).withColumn("published_at_source", F.when(F.col("published").isNotNull(), "original")).withColumn("published_at_confidence", F.when(F.col("published").isNotNull(), "high")).drop("body")
 
 
 def posts(payloads: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates
-from tidemark.functions.text import url_hash
+from tidemark.functions.text import strip_title_suffix, url_hash
 from tidemark.sources.dom import Node, squash, tree
 
 HOLDERS = ['[itemprop="articleBody"]', "article", '[role="article"]', '[role="main"] article', '[role="main"]', "main article", "main", ".entry-content", ".post-content", ".article-content", ".article-body", ".story-body", ".content-body", ".post-body", ".content", "body"]
@@ -271,3 +271,66 @@ def media_type(content_type: Column) -> Column:
 
 def is_pdf(url: Column, content_type: Column) -> Column:
     return F.startswith(media_type(content_type), F.lit("application/pdf")) | F.regexp_replace(url, r"[?#].*\z", "").rlike(r"(?i)\.pdf\z")
+
+
+IMAGES = [('meta[property="og:image"]', "content"), ('meta[name="og:image"]', "content"), ('meta[property="og:image:url"]', "content"), ('meta[name="twitter:image"]', "content"), ('meta[name="twitter:image:src"]', "content"), ('link[rel="image_src"]', "href"), ("article img", "src"), ("main img", "src")]
+
+
+def detail(html: str | None, url: str | None, title: str = "h1", content: str | None = None, exclude: str | None = None) -> tuple:
+    """title, excerpt, image and author of a page. exclude is taken out before the excerpt alone is read, so images and dates still see the whole page."""
+    doc = tree(html)
+    first, og, tag = doc.first(title), _content(doc, 'meta[property="og:title"]'), doc.first("title")
+    name = next((x for x in ((first.text() if first else "").strip(), (og or "").strip(), (tag.text() if tag else "").strip()) if x), None)
+    image = next((v for s, a in IMAGES if (n := doc.first(s)) and (v := n.attr(a))), None)
+    author = doc.first('meta[name="author"]')
+    if exclude:
+        doc.remove(exclude)
+    if content:
+        text = " ".join(t for n in doc.all(content) if (t := squash(n.text())))
+    else:
+        body = doc.first("article") or doc.first("main") or doc.first("body")
+        if body:
+            body.remove("script, style")
+        text = squash(_spaced(body)) if body else ""
+    return name, text[:2000], re.sub("^http:", "https:", urljoin(url or "", image)) if image else None, author.attr("content") if author else None
+
+
+def _spaced(n: Node) -> str:
+    """Text with a blank for every tag."""
+    out: list[str] = []
+    todo: list[Node | str] = [n]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            out.append(" ")
+            todo += [" ", *reversed(x.kids)]
+    return "".join(out)
+
+
+def details(pages_: DataFrame, sites: list[str], id_col: str = "page_id", html_col: str = "html", url_col: str = "url", title: str = "h1", content: str | None = None, exclude: str | None = None) -> DataFrame:
+    """id, title (without the site's name), excerpt, image, author."""
+    x = rows_of(pages_, id_col, html_col, "title string, excerpt string, image string, author string", lambda h, u: [detail(h, u, title, content, exclude)], url_col)
+    return x.withColumn("title", strip_title_suffix(F.col("title"), sites))
+
+
+def article_text(html: str | None, least: int = 500) -> tuple[str, str]:
+    """Text and how it was found: prose paragraphs of 70 characters or more, or, where these are under `least`, all of the article without page furniture if that is more."""
+    doc = tree(html)
+    doc.remove("script, style, noscript, figcaption")
+    scope = doc.first("article") or doc.first("main") or doc.first("body")
+    if scope is None:
+        return "", "none"
+    paras = [t for p in scope.all("p") if len(t := squash(p.text())) >= 70 and re.search("[a-z]", t) and re.search("[.!?]", t) and not re.match(r"by |photo|image|credit|source:|copyright|©", t, re.I)]
+    text = " \n ".join(paras)
+    if len(text) < least:
+        scope.remove(", ".join(["aside", "footer", "form", "header", "nav", *[f'[class*="{c}"]' for c in ("footer", "header", "menu", "nav", "related", "share", "sidebar", "widget")], '[id*="menu"]', '[id*="nav"]']))
+        broad = squash(scope.text())
+        if len(broad) > len(text):
+            return broad, "broad"
+    return text, "paragraphs"
+
+
+def article_texts(pages_: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    return rows_of(pages_, id_col, html_col, "text string, mode string", lambda h: [article_text(h)])
