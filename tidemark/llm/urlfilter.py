@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, fresh_dir, narrow
+from tidemark.llm.common import fresh_dir, narrow
 
 
 def parts(url: Column) -> tuple[Column, Column, Column]:
@@ -54,25 +55,34 @@ def _local(path: str) -> str:
     return path
 
 
-def build(entries: DataFrame, shard_entries: int = 20_000_000) -> list[tuple[str, int, int, int]]:
+def build(entries: DataFrame, shard_entries: int = 1_000_000) -> list[tuple[str, int, int, int]]:
     """Writes column entry as sorted digest shards to the shared folder -> (path, count, least and
-    largest key) of each. Null and empty entries are left out; repeated ones count once."""
-    e = cut(entries.select("entry").filter("entry is not null and entry <> ''").distinct().select(F.xxhash64("entry").alias("key"), "entry"))
-    where = _local(fresh_dir(e.sparkSession, "digests"))
+    largest key) of each. Null and empty entries are left out; repeated ones count once. Keys are hashes, so equal
+    ranges of them are shards of equal size: entries go to their shard in one shuffle, and repeats meet there."""
+    e = entries.select("entry").filter("entry is not null and entry <> ''")
     shards = max(1, -(-e.count() // shard_entries))
+    key = F.xxhash64("entry")
+    at = F.least(F.floor((key.cast("double") / 2.0**64 + 0.5) * shards), F.lit(shards - 1)).cast("int")
+    where = _local(fresh_dir(e.sparkSession, "digests"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # batch by batch, so that a shard never lies in memory whole; whole files appear at once, the same on a retry
         own, mine = f"{where}/{TaskContext.get().partitionId():05d}", TaskContext.get().taskAttemptId()
-        n, size, lo, hi = 0, 0, 0, 0
+        n, size, lo, hi, last = 0, 0, 0, 0, None
         os.makedirs(where, exist_ok=True)
         names = {kind: f"{own}.{kind}.{mine}" for kind in ("keys", "offs", "text")}
         with open(names["keys"], "wb") as keys, open(names["offs"], "wb") as offs, open(names["text"], "wb") as text:
             np.zeros(1, np.int64).tofile(offs)
             for b in batches:
-                if b.num_rows:
-                    k = b.column("key").to_numpy()
-                    entry = b.column("entry").cast(pa.large_binary())
+                if not b.num_rows:
+                    continue
+                entry = b.column("entry").cast(pa.large_binary())
+                new = np.ones(b.num_rows, bool)
+                new[1:] = pc.not_equal(entry[1:], entry[:-1]).to_numpy(zero_copy_only=False)
+                new[0] = entry[0].as_py() != last
+                last = entry[-1].as_py()
+                k, entry = b.column("key").to_numpy()[new], entry.filter(pa.array(new))
+                if len(k):
                     o = np.frombuffer(entry.buffers()[1], np.int64)[entry.offset : entry.offset + len(entry) + 1]
                     k.tofile(keys)
                     (o[1:] - o[0] + size).tofile(offs)
@@ -83,7 +93,8 @@ def build(entries: DataFrame, shard_entries: int = 20_000_000) -> list[tuple[str
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([n]), pa.array([lo]), pa.array([hi])], names=["path", "n", "lo", "hi"])
 
-    done = e.repartitionByRange(shards, "key").sortWithinPartitions("key", "entry").mapInArrow(write, "path string, n long, lo long, hi long")
+    placed = e.select(key.alias("key"), "entry", at.alias("at")).repartitionById(shards, "at").select("key", "entry").sortWithinPartitions("key", "entry")
+    done = placed.mapInArrow(write, "path string, n long, lo long, hi long")
     return sorted((r["path"], r["n"], r["lo"], r["hi"]) for r in done.collect())  # a row a shard
 
 
@@ -122,14 +133,19 @@ def filter_urls(pages: DataFrame, shards: list[tuple[str, int, int, int]], id_co
     p = p.select(id_col, url_col, n.alias("names")).select("*", F.transform("names", lambda x: F.xxhash64(x)).alias("keys"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = [(Shard(path, count), lo, hi) for path, count, lo, hi in shards]
+        open_: dict[str, Shard] = {}  # mapped when first needed
         for b in batches:
             lists = b.column("keys")
             keys, name = lists.flatten().to_numpy(), b.column("names").flatten()
             hit = np.zeros(len(keys), bool)
-            for shard, lo, hi in open_:
-                own = np.flatnonzero((keys >= lo) & (keys <= hi))
-                hit[own] |= shard.holds(keys[own], lambda i, own=own: name[int(own[i])].as_py().encode())
+            order = np.argsort(keys, kind="stable")
+            up = keys[order]
+            for path, count, lo, hi in shards:
+                own = order[np.searchsorted(up, lo, "left") : np.searchsorted(up, hi, "right")]
+                if len(own):
+                    if path not in open_:
+                        open_[path] = Shard(path, count)
+                    hit[own] |= open_[path].holds(keys[own], lambda i, own=own: name[int(own[i])].as_py().encode())
             offs = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             row = np.repeat(np.arange(len(lists)), np.diff(offs))
             at = np.flatnonzero(hit)
