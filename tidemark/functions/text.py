@@ -41,22 +41,27 @@ class Finder:
     def __init__(self, *blocks: list[str]) -> None:
         self.heads = {p: heads(p) for block in blocks for p in block}
         self.wanted = sorted({h for own in self.heads.values() for h in own or []})
+        self.last, self.parts = None, {}
 
     def read(self, text: Column) -> Column:
         low = F.lower(text)
         return F.struct(text.alias("text"), word_heads(text, self.wanted).alias("heads"), low.alias("low"))
 
+    def part(self, x: Column, name: str) -> Column:
+        """A field of what read() made; the same Column as long as x is the same, as building one costs more than its use."""
+        if self.last is not x:
+            self.last, self.parts = x, {}
+        if name not in self.parts:
+            self.parts[name] = x[name]
+        return self.parts[name]
+
     def has(self, x: Column, p: str) -> Column:
-        own = self.heads[p]
+        own, source = self.heads[p], self.part(x, "text")
+        found = source.rlike(java_pattern(p) + (f"(?!{NOT_BEFORE[p]})" if p in NOT_BEFORE else ""))
         if own:
-            can = F.arrays_overlap(x["heads"], F.lit(own))
-        else:
-            must = needles(p)
-            can = F.lit(True) if not must else reduce(lambda a, b: a | b, [F.contains(x["low"], F.lit(m)) for m in must])
-        found = x["text"].rlike(java_pattern(p))
-        if p in NOT_BEFORE:
-            found = x["text"].rlike(java_pattern(p) + "(?!" + NOT_BEFORE[p] + ")")
-        return F.when(can, found).otherwise(False)
+            return (F.array_contains(self.part(x, "heads"), own[0]) if len(own) == 1 else F.arrays_overlap(self.part(x, "heads"), F.lit(own))) & found
+        must = needles(p)
+        return reduce(lambda a, b: a | b, [F.contains(self.part(x, "low"), F.lit(m)) for m in must]) & found if must else found
 
     def any(self, x: Column, block: list[str]) -> Column:
         return reduce(lambda a, b: a | b, [self.has(x, p) for p in block], F.lit(False))
