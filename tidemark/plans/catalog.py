@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, text
 from tidemark.functions import lexicons as L
 from tidemark.operators import dedup, enrich, gates, monitor, search, validate
-from tidemark.plans.ingest import account, judge
+from tidemark.plans.ingest import account, sift
 from tidemark.plans.literal import Cases, Literal
 from tidemark.sources import feeds
 
@@ -474,7 +474,7 @@ z AS (SELECT source_id, count(*) AS found, count(*) FILTER (o = 'i' AND doc_id %
 SELECT *, 0::BIGINT AS unexplained, CASE WHEN ai_errors > 0 AND inserted > 0 THEN 'partial' ELSE 'success' END AS status FROM z""")
 def accounting(spark, d):
     known = table(spark, d, "labels").select(text.url_hash(F.concat(F.lit("https://example.org/a/"), "doc_id")).alias("url_hash"))
-    return account(judge(raw_rows(spark, d), known).withColumn("insert_failed", F.col("doc_id") % 10 == 0).withColumn("ai_error", F.col("doc_id") % 40 == 1))
+    return account(sift(raw_rows(spark, d), known).withColumn("insert_failed", F.col("doc_id") % 10 == 0).withColumn("ai_error", F.col("doc_id") % 40 == 1))
 
 
 OUTCOME = "idx int, decision string, detected_url string, date_signals array<string>, raw_label string, parsed string, url string, title string, source_id string, url_hash string, published string, confidence string, excerpt string"

@@ -11,9 +11,9 @@ from tidemark.operators import enrich, gates
 from tidemark.operators.monitor import run_status
 
 
-def judge(raw: DataFrame, known: DataFrame | None = None, now: Column | None = None) -> DataFrame:
+def sift(raw: DataFrame, known: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     """raw: source_id, source_name, url, title, excerpt, published_at, category_hint, trust. Each row with its
-    hash, outcome (inserted, duplicate, rejected_quality, rejected_no_date), reason and derived columns. Where raw has require_date, sources
+    hash, outcome (inserted, duplicate, rejected_quality, rejected_no_date) and reason. Where raw has require_date, sources
     can do without a date; with now and a column date_fallback they can infer it (a source that infers and can't drops the row)."""
     x = raw.withColumn("url_hash", url_hash(F.col("url")))
     if known is not None:
@@ -34,12 +34,19 @@ def judge(raw: DataFrame, known: DataFrame | None = None, now: Column | None = N
             optional = optional & ~F.coalesce("date_fallback", F.lit(False))
     undated = F.col("published_at").isNull() & ~optional
     x = x.withColumn("outcome", F.when(F.col("is_known"), "duplicate").when(F.col("reason").isNotNull(), "rejected_quality").when(undated, "rejected_no_date").otherwise("inserted"))
+    return x.drop("is_known")
+
+
+def judge(raw: DataFrame, known: DataFrame | None = None, now: Column | None = None) -> DataFrame:
+    """sift, and the derived columns: category, document_type, segments, content_quality, summary."""
+    t, e = F.col("title"), F.col("excerpt")
+    x = sift(raw, known, now)
     x = x.withColumn("category", enrich.category(t, e, F.col("category_hint"))["slug"])
     x = x.withColumn("document_type", enrich.document_type(F.col("category_hint"), F.col("source_name"), F.col("category"), t, e))
     x = x.withColumn("segments", enrich.segments(t, e, F.col("category"), F.col("source_name")))
     m = gates.moderate(t, e)
     x = x.withColumn("content_quality", gates.visibility(m["decision"], F.col("trust")))
-    return x.withColumn("summary", summary(e)).drop("is_known")
+    return x.withColumn("summary", summary(e))
 
 
 def account(judged: DataFrame, peak_found: bool = True) -> DataFrame:
