@@ -127,20 +127,33 @@ def native(text: Column) -> Column:
     return F.coalesce(iso, F.when(t.rlike(p), F.try_to_timestamp(made)))
 
 
-def try_parse(text: Column, now: Column) -> Column:
-    """One date string as a timestamp, not over 24 hours after now: an epoch in seconds or milliseconds; a date without a clock by its
-    notation, at midnight UTC; else a full time; else any date in it."""
+def _read(text: Column, now: Column) -> Column:
+    """struct<p, d, n>: text as one date string (try_parse), the first date in it (first_date), and how many different dates it holds. All dates are sought once."""
     t = F.trim(text)
     late = lambda x: F.when(x <= now + F.expr("INTERVAL 24 HOURS"), x)
     n = F.when(t.rlike(r"^\d{10,18}\z"), t).cast("long")
     epoch = late(F.timestamp_millis(F.when(n < 10**12, n * 1000).otherwise(n)))
     clock = t.rlike(r"\dT\d|\d:\d{2}") | t.rlike(r"(?:[+-]\d{2}:?\d{2}|Z)\z")
-    day = first_date(t, now).cast("timestamp")
-    return F.when(t == "", None).when(t.rlike(r"^\d{10,}\z"), epoch).when(~clock, F.coalesce(day, late(native(t)))).otherwise(F.coalesce(late(native(t)), day))
+
+    def parsed(x: Column) -> Column:
+        best = F.when(t == "", None).when(t.rlike(r"^\d{10,}\z"), epoch).when(clock, F.coalesce(x["full"], x["d"])).otherwise(F.coalesce(x["d"], x["full"]))
+        return F.struct(best.alias("p"), x["d"].alias("d"), x["n"].alias("n"))
+
+    def dated(every: Column) -> Column:
+        first = F.try_element_at(F.filter(every, lambda d: d.cast("timestamp") <= now + F.expr("INTERVAL 24 HOURS")), F.lit(1)).cast("timestamp")
+        return let(F.struct(first.alias("d"), late(native(t)).alias("full"), F.size(F.array_distinct(every)).alias("n")), parsed)
+
+    return let(find_all_dates(text), dated)
+
+
+def try_parse(text: Column, now: Column) -> Column:
+    """One date string as a timestamp, not over 24 hours after now: an epoch in seconds or milliseconds; a date without a clock by its
+    notation, at midnight UTC; else a full time; else any date in it."""
+    return _read(text, now)["p"]
 
 
 STEPS = ["date_selector", "meta", "time_element_semantic", "body_labelled", "body_bare", "url_path_day", "url_slug_month", "time_element_loose", "title_fallback"]
-LABELLED = r"(?i)(?:Published|Posted|Date|Updated|Last\s+updated)\s*[:\-]?\s*([^.\n]{4,80})"
+LABELLED = r"(?i)(?:date|last\s+updated|posted|published|updated)\s*[-:]?\s*([^\n.]{4,80})"
 LONG = "january february march april may june july august september october november december".split()
 
 
@@ -149,29 +162,37 @@ def resolve(page: dict[str, Column], now: Column, title: Column | None = None, d
     scope (the article's text without headings), link, and the title; see best_date for the order."""
     no = F.lit(None).cast("string")
     get = lambda k: page.get(k, no)
-    step = {s: i + 1 for i, s in enumerate(STEPS)}
-    one = lambda at, source, confidence, name: F.struct(at.cast("timestamp").alias("iso"), (source if isinstance(source, Column) else F.lit(source)).alias("source"), (confidence if isinstance(confidence, Column) else F.lit(confidence)).alias("confidence"), (name if isinstance(name, Column) else F.lit(name)).alias("name"))
     shown = F.regexp_replace(get("selector_text"), r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", "$3-$2-$1") if day_first else get("selector_text")
     path = r"/(20\d{2})/(\d{1,2})(?:/(\d{1,2}))?/"
     part = lambda i: F.regexp_extract(get("link"), path, i)
     has_day = part(3) != ""
-    in_path = F.when(get("link").rlike(path), try_parse(F.concat(part(1), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(F.when(has_day, part(3)).otherwise("01"), 2, "0"), F.lit("T00:00:00Z")), now))
-    labelled = F.try_element_at(F.filter(F.transform(F.regexp_extract_all(get("body"), F.lit(LABELLED), F.lit(1)), lambda x: first_date(x, now)), lambda d: d.isNotNull()), F.lit(1))
-    lone = F.when(F.size(F.array_distinct(find_all_dates(get("scope")))) <= 1, "medium").otherwise("low")
+    in_path = F.when(get("link").rlike(path), F.concat(part(1), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(F.when(has_day, part(3)).otherwise("01"), 2, "0"), F.lit("T00:00:00Z")))
     slug = r"(?:^|[/\-])(" + "|".join(LONG) + r")-(20\d{2})(?:[/\-.]|\z)"
     low = F.lower(get("link"))
     month = make_date(F.regexp_extract(low, slug, 2).try_cast("int"), month_number(F.regexp_extract(low, slug, 1)), F.lit(1)).cast("timestamp")
     month = F.when(month <= now + F.expr("INTERVAL 24 HOURS"), month)
-    every = F.array(
-        one(try_parse(get("selector_datetime"), now), "original", "high", "date_selector"), one(try_parse(shown, now), "original", "high", "date_selector"), one(first_date(shown, now), "original", "high", "date_selector"),
-        one(try_parse(get("meta"), now), "original", "high", "meta"), one(try_parse(get("json_ld"), now), "original", "high", "json_ld"), one(try_parse(get("time_semantic"), now), "original", "high", "time_element_semantic"), one(try_parse(get("time_loose"), now), "original", "low", "time_element_loose"),
-        one(in_path, F.when(has_day, "original").otherwise("scraper_default"), F.when(has_day, "medium").otherwise("low"), F.when(has_day, "url_path_day").otherwise("url_slug_month")),
-        one(labelled, "original", "high", "body_labelled"), one(first_date(get("scope"), now), "original", lone, "body_bare"), one(month, "scraper_default", "low", "url_slug_month"), one(first_date(title if title is not None else no, now), "scraper_default", "low", "title_fallback"),
-    )
-    place = F.create_map(*[F.lit(x) for kv in step.items() for x in kv])
-    rated = F.transform(every, lambda c, i: F.struct((-_rank(c["confidence"], CONFIDENCE)).alias("a"), (-_rank(c["source"], ORIGIN)).alias("b"), F.coalesce(place[c["name"]], F.lit(99)).alias("s"), i.alias("i"), c.alias("c")))
-    best = F.try_element_at(F.array_sort(F.filter(rated, lambda r: r["c"]["iso"].isNotNull())), F.lit(1))["c"]
-    return F.when(best.isNotNull(), F.struct(best["iso"].alias("at"), best["source"].alias("source"), best["confidence"].alias("confidence"), best["name"].alias("step")))
+    # all texts go through one reading: the expression holds the date notations once
+    own = F.array(get("selector_datetime"), shown, get("meta"), get("json_ld"), get("time_semantic"), get("time_loose"), in_path, get("scope"), title if title is not None else no)
+    labelled = F.coalesce(F.regexp_extract_all(get("body"), F.lit(LABELLED), F.lit(1)), F.array().cast("array<string>"))
+    texts = F.concat(own, labelled)
+
+    def choose(read: Column) -> Column:
+        p, d = (lambda i: read[i]["p"]), (lambda i: read[i]["d"])
+        label = F.try_element_at(F.filter(F.transform(F.slice(read, 10, F.greatest(F.size(read) - 9, F.lit(0))), lambda r: r["d"]), lambda x: x.isNotNull()), F.lit(1))
+        lone = F.when(read[7]["n"] <= 1, "medium").otherwise("low")
+        as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
+        one = lambda at, source, confidence, name: F.struct(at.alias("iso"), as_col(source).alias("source"), as_col(confidence).alias("confidence"), as_col(name).alias("name"))
+        every = F.array(
+            one(p(0), "original", "high", "date_selector"), one(p(1), "original", "high", "date_selector"), one(d(1), "original", "high", "date_selector"), one(p(2), "original", "high", "meta"), one(p(3), "original", "high", "json_ld"),
+            one(p(4), "original", "high", "time_element_semantic"), one(p(5), "original", "low", "time_element_loose"), one(p(6), F.when(has_day, "original").otherwise("scraper_default"), F.when(has_day, "medium").otherwise("low"), F.when(has_day, "url_path_day").otherwise("url_slug_month")),
+            one(label, "original", "high", "body_labelled"), one(d(7), "original", lone, "body_bare"), one(month, "scraper_default", "low", "url_slug_month"), one(d(8), "scraper_default", "low", "title_fallback"),
+        )
+        place = F.create_map(*[F.lit(x) for i, k in enumerate(STEPS) for x in (k, i + 1)])
+        rated = F.transform(every, lambda c, i: F.struct((-_rank(c["confidence"], CONFIDENCE)).alias("a"), (-_rank(c["source"], ORIGIN)).alias("b"), F.coalesce(place[c["name"]], F.lit(99)).alias("s"), i.alias("i"), c.alias("c")))
+        return F.try_element_at(F.array_sort(F.filter(rated, lambda r: r["c"]["iso"].isNotNull())), F.lit(1))["c"]
+
+    result = lambda best: F.when(best.isNotNull(), F.struct(best["iso"].alias("at"), best["source"].alias("source"), best["confidence"].alias("confidence"), best["name"].alias("step")))
+    return let(let(F.transform(texts, lambda s: _read(s, now)), choose), result)
 
 
 PROVENANCE = {s: "original" for s in ("body_header_label", "jsonld_datePublished", "meta_article_published_time", "opengraph", "pdf_metadata_creation", "rss_pubdate", "sitemap_lastmod", "time_element_datetime", "time_element_text", "wire_header_date")} | {"unknown": "unknown", "url_slug_yyyy_mm": "body_repaired"}

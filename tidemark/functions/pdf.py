@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.lexicons import MONTHS
+
 I = re.I  # noqa: E741
 LABEL = re.compile(r"^(?:click\s+here|continue|download(?:\s+(?:the\s+)?(?:document|file|here|pdf))?|here|link|more|open|pdf|read\s+(?:more|on)|view(?:\s+pdf)?)\.?$", I)
 TEMPLATE = re.compile(r"^(?:.*\bletter\s+template|abc|copy|document\s*\d*|draft|final|layout\s*\d*|master\s*template|print|test|untitled(?:\s*\d*)?)$", I)
 FILE = re.compile(r"\.(?:ai|cdr|docx?|indd|pdf|pmd|psd|pub|qxd)\s*$", I)
 EXPORT = re.compile(r"^(?:adobe\s+(?:acrobat|indesign)|microsoft\s+word|word)\s*[-–—:]\s*", I)
-DATE = re.compile(r"^\s*(?:\d{1,2}[\s.\-/]+)?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?[\s.,\-/]*(?:\d{1,2})?[,\s]*\d{2,4}\s*$", I)
+DATE = re.compile(rf"^(?:[0-9]{{1,2}}[-\s./]+)?(?:{'|'.join(MONTHS)})[a-z]*\.?[-\s.,/]*(?:[0-9]{{1,2}})?[\s,]*[0-9]{{2,4}}$", I)
 NUMBER = re.compile(r"^[\d\s.,\-/_]+$")
 
 
@@ -69,9 +71,9 @@ def from_url(url: str | None) -> str | None:
     return tidy(name) if usable(name) else None
 
 
-ADDRESSEES = [re.compile(p, I) for p in (
-    r"^All Shipping Agents,?\s*Owners,?\s*and Operators\b[:,\s]*", r"^(?:To\s+)?(?:All\s+)?Members?\s+of\s+the\s+Association\b[:,\s]*", r"^(?:To\s+)?All\s+(?:Class\s+\d+\s+)?\(?[A-Za-z\s]{0,20}\)?\s*Members\b[:,\s]*", r"^Dear\s+(?:Madam|Member|Sir\s+or\s+Madam|Sirs?)\b[:,\s]*")]
-LETTER = re.compile(r"\s(?:\d{1,2}\s*[.)]\s*[A-Z]|At\s+the\s+|Beginning\s+at|Effective\s+|Following\s+|Further\s+to|In\s+(?:accordance|light|view)|It\s+(?:has|is)|Members?\s+(?:are|should|will)|Please\s+(?:be\s+advised|note)|Reference\s+is\s+made|The\s+[A-Z]|This\s+(?:Advisory|Bulletin|Circular|Notice)|We\s+(?:are|have|write)|Your\s+Managers)")
+ADDRESSEES = [re.compile(rf"^{p}\b[ ,:]*", I) for p in (
+    "All Shipping Agents,? ?Owners,? ?and Operators", "(?:To )?(?:All )?Members? of the Association", r"(?:To )?All (?:Class [0-9]+ )?\(?[A-Za-z ]{0,20}\)? ?Members", "Dear (?:Madam|Member|Sir or Madam|Sirs?)")]
+LETTER = re.compile(" (?:[0-9]{1,2} ?[).] ?[A-Z]|At the |Beginning at|Effective |Following |Further to|In (?:accordance|light|view)|It (?:has|is)|Members? (?:are|should|will)|Please (?:be advised|note)|Reference is made|The [A-Z]|This (?:Advisory|Bulletin|Circular|Notice)|We (?:are|have|write)|Your Managers)")
 SHORT = re.compile(r"\b(?:approx|apr|art|aug|co|corp|dec|dr|etc|feb|inc|jan|jul|jun|ltd|mar|mr|mrs|ms|no|nos|nov|oct|ref|sec|sept?|st|vol|vs)$", I)
 TAIL = re.compile(r"[\s.,;:–—-]+$")
 
@@ -108,8 +110,8 @@ def headline(s: str, most: int = 110) -> str:
     return TAIL.sub("", t).strip()
 
 
-SUBJECT = re.compile(r"\bSUBJECT\s*:\s+(.{10,180}?)(?:\.\s|$)", I)
-SALUTATION = re.compile(r"Dear\s+(?:Sirs?(?:\s+or\s+Madam)?|Madam|Members?)\b[:,\s]+(.{10,300})", I)
+SUBJECT = re.compile(r"\bSUBJECT ?: (.{10,180}?)(?:\. |$)", I)
+SALUTATION = re.compile(r"Dear (?:Madam|Members?|Sirs?(?: or Madam)?)\b[ ,:]+(.{10,300})", I)
 
 
 def _lettered(text: str) -> str:
@@ -117,22 +119,22 @@ def _lettered(text: str) -> str:
 
 
 def _canal(s: str) -> tuple[str, str] | None:
-    no, subject = re.search(r"Advisor(?:ies|y)\s+(?:To\s+)?Shipping\s+No\.?\s*([A-Z]-\d{1,3}-\d{4})", s, I), SUBJECT.search(s)
+    no, subject = re.search(r"Advisor(?:ies|y) (?:To )?Shipping No\.? ?([A-Z]-[0-9]{1,3}-[0-9]{4})", s, I), SUBJECT.search(s)
     body = _clean(subject[1]) if subject else ""
     return (f"Advisory {no[1].upper()}: {body}" if no else body, "panama-subject") if body else None
 
 
 def _circular(s: str) -> tuple[str, str] | None:
-    no, after = re.search(r"CIRCULAR\s+NO\.?\s*(\d{1,3}/\d{2,4})", s, I), re.search(r"Dear\s+Members?\s*:\s*(.{10,300})", s, I)
+    no, after = re.search(r"CIRCULAR NO\.? ?([0-9]{1,3}/[0-9]{2,4})", s, I), re.search("Dear Members? ?: ?(.{10,300})", s, I)
     body = _lettered(after[1]) if after else ""
     return (f"Circular {no[1]}: {body}" if no else body, "american-circular") if body else None
 
 
 def _alert(s: str) -> tuple[str, str] | None:
-    m = re.search(r"\b(RA\s?\d{1,3})\s*[-–—]\s*(.{10,140}?)(?:\s{2,}|\.\s|Contents|Introduction|$)", s, I)
+    m = re.search(r"\b(RA ?[0-9]{1,3}) ?[-–—] ?(.{10,140}?)(?:Contents|Introduction|\. |$)", s, I)
     if m and (body := _clean(m[2])):
-        return f"{re.sub(chr(92) + 's+', '', m[1])} – {body}", "steamship-ra"
-    m = re.search(r"loss-prevention/?\s+(.{10,140}?)(?:\s{2,}|\.\s|Contents|$)", s, I)
+        return f"{m[1].replace(" ", "")} – {body}", "steamship-ra"
+    m = re.search(r"loss-prevention/? (.{10,140}?)(?:Contents|\. |$)", s, I)
     return (body, "steamship-after-boilerplate") if m and (body := _clean(m[1])) else None
 
 
@@ -152,7 +154,7 @@ def recover(body: str | None, source: str | None = None) -> tuple[str, str] | No
     found = []
     if source in PUBLISHERS and (x := PUBLISHERS[source](s)):
         found.append(x)
-    for p, how, read in ((SUBJECT, "subject", _clean), (re.compile(r"\bRe\s*:\s+(.{10,180}?)(?:\.\s|$)", I), "re", _clean), (SALUTATION, "salutation", _lettered)):
+    for p, how, read in ((SUBJECT, "subject", _clean), (re.compile(r"\bRe ?: (.{10,180}?)(?:\. |$)", I), "re", _clean), (SALUTATION, "salutation", _lettered)):
         m = p.search(s)
         if m and (x := read(m[1])):
             found.append((x, how))

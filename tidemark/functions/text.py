@@ -212,8 +212,8 @@ def failure_kind(status: Column) -> Column:
     )
 
 
-HEADING = r"^(\d+)[.)]\s+(.{8,200})$"
-NAMED = r"(?i)^(?:article|chapter|issue|item|part|section|topic|update)\s+(\d+)\s*[:.\-—]\s*(.{4,200})$"
+HEADING = r"^([0-9]+)[).]\s+(.{8,200})$"
+NAMED = r"(?i)^(?:article|chapter|issue|item|part|section|topic|update)\s+([0-9]+)\s*[-—.:]\s*(.{4,200})$"
 FURNITURE = r"(?i)^(?:\d+ of \d+|all rights reserved|confidential|copyright|internal use only|page \d+|www\.|©)"
 
 

@@ -59,8 +59,9 @@ def document_type(hint: Column, source_name: Column, category_slug: Column, titl
     return out.when(matches(text, L.MARKET), "market_report").when(source_name.rlike(r"(?i)press\s*release"), "press_release").otherwise("news")
 
 
-PHRASE = re.compile(r"\b([A-Z][a-z]+(?:\s+(?:of\s+|the\s+)?[A-Z][a-z]+){1,3})\b", re.ASCII)
-TOKEN = re.compile(r"\b([A-Za-z][A-Za-z\-]+)\b", re.ASCII)
+NAME = "[A-Z][a-z]+"
+PHRASE = re.compile(rf"\b({NAME}(?:\s+(?:(?:of|the)\s+)?{NAME}){{1,3}})\b", re.ASCII)
+TOKEN = re.compile(r"\b([A-Za-z][-A-Za-z]+)\b", re.ASCII)
 
 
 def salient(title: str | None, excerpt: str | None, stop: frozenset[str]) -> list[str]:

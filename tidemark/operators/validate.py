@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_number
-from tidemark.functions.lexicons import EDGE, LANDING
+from tidemark.functions.lexicons import EDGE, LANDING, MONTHS
 from tidemark.functions.text import last_segment
 
 
-ZONED = r"T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})\z"
-_MON = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+ZONED = r"T[0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:[-+][0-9]{2}:?[0-9]{2}|Z)\z"
+_MON = "(" + "|".join(m.title() for m in MONTHS) + ")"
 DISCOVERY = ["rss_pubdate", "sitemap_lastmod"]
 
 

@@ -320,7 +320,8 @@ def summary(spark, d):
 
 def _keyword_sql(most: int) -> str:
     stop = ", ".join(q(x) for x in L.STOP_WORDS)
-    phrase, token = r"\b([A-Z][a-z]+(?:\s+(?:of\s+|the\s+)?[A-Z][a-z]+){1,3})\b", r"\b([A-Za-z][A-Za-z\-]+)\b"
+    cap = "[A-Z][a-z]+"
+    phrase, token = rf"\b({cap}(?:\s+(?:(?:of|the)\s+)?{cap}){{1,3}})\b", r"\b([A-Za-z][-A-Za-z]+)\b"
     of = lambda kind, part, col, p, w, base: f"SELECT doc_id, '{kind}' AS kind, unnest(regexp_extract_all({col}, '{p}', 1)) AS w, {base} + generate_subscripts(regexp_extract_all({col}, '{p}', 1), 1) AS pos, {w} AS worth, {part} AS part FROM a"
     return f"""{ART}, a AS (SELECT doc_id, substr(title, 1, 500) AS t, substr(excerpt, 1, 4000) AS e FROM art),
 x AS ({of('phrase', 0, 't', phrase, 5, 0)} UNION ALL {of('phrase', 1, 'e', phrase, 1, 1000000)} UNION ALL {of('word', 0, 't', token, 5, 2000000)} UNION ALL {of('word', 1, 'e', token, 1, 3000000)}),
@@ -505,12 +506,12 @@ MONTH_NO = "list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep'
 
 
 def _rule_sql(outcomes: str) -> str:
-    mon = "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+    mon = "(" + "|".join(m.title() for m in L.MONTHS) + ")"
     p1, p2 = rf"\b(\d{{1,2}})\s+{mon}[a-z]*\.?\s+(\d{{4}})\b", rf"\b{mon}[a-z]*\.?\s+(\d{{1,2}}),?\s+(\d{{4}})\b"
     part = lambda p, y, m, d: f"regexp_extract(raw_label, '{p}', {y}) || '-' || lpad({MONTH_NO.format(f'regexp_extract(raw_label, {q(p)}, {m})')}::VARCHAR, 2, '0') || '-' || lpad(regexp_extract(raw_label, '{p}', {d}), 2, '0')"
     landing = ", ".join(q(x) for x in L.LANDING)
     return rf"""WITH {outcomes},
-o AS (SELECT *, decision = 'would_insert' AND NOT (title IS NULL AND url IS NULL AND url_hash IS NULL) AS live, coalesce(raw_label, '') <> '' AS lab, coalesce(date_signals[1] IN ('rss_pubdate', 'sitemap_lastmod'), false) AS disc, coalesce(regexp_matches(trim(raw_label), 'T\d{{2}}:\d{{2}}(?::\d{{2}}(?:\.\d+)?)?(?:Z|[+-]\d{{2}}:?\d{{2}})$'), false) AS zoned,
+o AS (SELECT *, decision = 'would_insert' AND NOT (title IS NULL AND url IS NULL AND url_hash IS NULL) AS live, coalesce(raw_label, '') <> '' AS lab, coalesce(date_signals[1] IN ('rss_pubdate', 'sitemap_lastmod'), false) AS disc, coalesce(regexp_matches(trim(raw_label), 'T[0-9]{{2}}:[0-9]{{2}}(?::[0-9]{{2}}(?:[.][0-9]+)?)?(?:[-+][0-9]{{2}}:?[0-9]{{2}}|Z)$'), false) AS zoned,
   CASE WHEN regexp_matches(raw_label, '{p1}') THEN {part(p1, 3, 2, 1)} WHEN regexp_matches(raw_label, '{p2}') THEN {part(p2, 3, 1, 2)} ELSE nullif(regexp_extract(raw_label, '\b(\d{{4}}-\d{{2}}-\d{{2}})\b', 1), '') END AS raw_day FROM outcomes),
 v AS (SELECT idx, detected_url, 'R1' AS rule FROM o WHERE decision = 'would_insert' AND NOT live
  UNION ALL SELECT idx, detected_url, 'R2' FROM o WHERE live AND trim(coalesce(title, '')) = ''

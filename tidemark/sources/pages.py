@@ -15,7 +15,7 @@ from tidemark.functions import dates
 from tidemark.functions.text import strip_title_suffix, url_hash
 from tidemark.sources.dom import Node, squash, tree
 
-HOLDERS = ['[itemprop="articleBody"]', "article", '[role="article"]', '[role="main"] article', '[role="main"]', "main article", "main", ".entry-content", ".post-content", ".article-content", ".article-body", ".story-body", ".content-body", ".post-body", ".content", "body"]
+HOLDERS = ['[itemprop="articleBody"]', "article", '[role="article"]', '[role="main"] article', '[role="main"]', "main article", "main", *[f".{c}" for c in "entry-content post-content article-content article-body story-body content-body post-body content".split()], "body"]
 _ROLES = "banner complementary contentinfo navigation search".split()
 _CLASSES = """ad ad-container ads adsbygoogle advertisement aside breadcrumb breadcrumbs comment-list comment-section comments cookie cookie-banner cookie-consent cta footer gdpr global-footer global-header header intro-block
     lead-in main-nav masthead menu modal nav navbar navigation newsletter newsletter-signup overlay page-footer page-header popup primary-nav promo promo-banner promo-box promotional recommended related related-articles related-posts
