@@ -21,9 +21,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     documents (where there are no labels, in one that the model can't name) or in letters too unlike the labelled
     documents of their language. Repeated rows and rows that tie stay or go together; a null doc_id or lang does no
     harm; very long texts are judged whole; clashing names stay as they are; an empty table gives no rows."""
-    model = langid.train(docs)
+    few = langid.sample(docs)
+    model = langid.train(docs, given=few)
     named = list(model.langs)
-    return langid.keep_known(docs, model, named or None, least=langid.least_scores(docs, model))
+    return langid.keep_known(docs, model, named or None, least=langid.least_scores(docs, model, given=few))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -193,23 +193,29 @@ def viterbi(score: np.ndarray, first: np.ndarray, n: np.ndarray, penalty: float)
     return label
 
 
-def _sample(docs: DataFrame, per_lang: int, most_langs: int) -> tuple[DataFrame | None, list[str]]:
-    """doc_id, text, lang of the documents to train on, and their languages."""
-    d = narrow(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.col("lang") != UNKNOWN))
-    d = d.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    ids = cut(d.select("doc_id", "lang", "nth").filter(F.col("nth") <= per_lang).select("doc_id", "lang").distinct())
+Sample = tuple[DataFrame | None, list[str]]
+
+
+def sample(docs: DataFrame, per_lang: int = 400, most_langs: int = 200) -> Sample:
+    """doc_id, text, lang of the documents to train on, and their languages: per_lang documents of each, those with the least hash of
+    doc_id (the bound); most_langs bounds the tables (256 KB a language in each task): of more languages those with the most documents here.
+    Ids are chosen without reading texts, which are read once, for the few, and kept in the shared folder. Null texts are left out."""
+    d = narrow(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.col("lang") != UNKNOWN))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = cut(d.select("doc_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= per_lang).select("doc_id", "lang").distinct())
     langs = sorted(r["lang"] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect())
     if not langs:
         return None, []
     ids = ids.filter(F.col("lang").isin(langs))  # at most per_lang * most_langs rows, so their size is bounded
-    return d.drop("nth").join(F.broadcast(ids), ["doc_id", "lang"], "left_semi"), langs
+    near = cut(d.filter("text is not null").join(F.broadcast(ids), ["doc_id", "lang"], "left_semi"))
+    here = {r["lang"] for r in near.select("lang").distinct().collect()}
+    return (near, [x for x in langs if x in here]) if here else (None, [])
 
 
-def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5, most_langs: int = 200) -> Model:
-    """Trigram tables of the languages in docs.lang, whatever their script, from per_lang documents of each
-    (the bound), those with the least hash of doc_id. most_langs bounds the tables (256 KB a language in each
-    task): of more languages those with the most documents in the sample. Null languages aren't trained."""
-    near, langs = _sample(docs, per_lang, most_langs)
+def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5, most_langs: int = 200, given: Sample | None = None) -> Model:
+    """Trigram tables of the languages in docs.lang, whatever their script, from the sample of docs (or the one given).
+    Null languages aren't trained."""
+    near, langs = given or sample(docs, per_lang, most_langs)
     if near is None:
         return Model([], np.zeros((SLOTS, 0), np.float32))
     places = {x: k for k, x in enumerate(langs)}
@@ -242,12 +248,12 @@ def train(docs: DataFrame, per_lang: int = 400, smooth: float = 0.5, most_langs:
     return Model(langs, np.log(table[:SLOTS] / table[:SLOTS].sum(axis=0)).astype(np.float32), script >= np.maximum(1, SHARE * script.sum(axis=0)))
 
 
-def least_scores(docs: DataFrame, model: Model, per_lang: int = 400, most_langs: int = 200) -> np.ndarray:
+def least_scores(docs: DataFrame, model: Model, per_lang: int = 400, most_langs: int = 200, given: Sample | None = None) -> np.ndarray:
     """For each state the least mean score a letter of a span in that language: halfway between the training
     documents' own score and that of the same documents with the letters of each word's script in another
     order. Untrained languages have no least score."""
     least = np.full(len(model.states), -np.inf)
-    near, langs = _sample(docs, per_lang, most_langs)
+    near, _ = given or sample(docs, per_lang, most_langs)
     if near is None:
         return least
     places = {x: k for k, x in enumerate(model.langs)}
