@@ -48,13 +48,11 @@ def any_of(block: list[str]) -> list[str]:
 
 
 HEAD = 3
-_Strings = set[str] | None
 
 
 def _heads(items: list, most: int = 400) -> tuple[set[str], bool] | None:
     """The possible first HEAD characters of what a parsed pattern matches, up to the end of its first word, digits as 0
     and letters lowered; and whether all are complete (the word is over or HEAD is reached). None: too many."""
-    out: set[str] = {""}
     open_ = {""}  # beginnings that what follows can still lengthen
     done: set[str] = set()
     for op, arg in items:
@@ -104,8 +102,7 @@ def _heads(items: list, most: int = 400) -> tuple[set[str], bool] | None:
             return None
         if not open_:
             break
-    out = {d for d in done} | open_
-    return out, not open_
+    return done | open_, not open_
 
 
 def _fold(c: str) -> str:
@@ -138,7 +135,6 @@ def heads(line: str) -> list[str] | None:
 def needles(line: str) -> list[str] | None:
     """Lower-case strings of which every match holds one; None: can't be told."""
     body = line[1:] if line[0] in "=~" else line
-    best: list[str] | None = None
 
     def of(items: list) -> list[str] | None:
         found: list[list[str]] = []
@@ -160,8 +156,7 @@ def needles(line: str) -> list[str] | None:
                     found.append([w for x in each for w in x])
         return max(found, key=lambda x: min(map(len, x)), default=None)
 
-    best = of(list(_parser.parse("(?:" + body + ")")))
-    return best
+    return of(list(_parser.parse("(?:" + body + ")")))
 
 
 #: slug -> (weight, patterns), the first wins ties
