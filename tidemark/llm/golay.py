@@ -49,15 +49,3 @@ def near(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new[:, 1:] = all_[:, 1:] != all_[:, :-1]
     at = np.nonzero(new)
     return at[0], all_[new]
-
-
-def near6(v: np.ndarray) -> np.ndarray:
-    """near as n x 6, with an index repeated where a word has one only."""
-    flips = np.concatenate(([0], 1 << np.arange(23))).astype(np.uint32)
-    all_ = np.sort(decode(v.astype(np.uint32)[:, None] ^ flips), axis=1)
-    new = np.ones(all_.shape, bool)
-    new[:, 1:] = all_[:, 1:] != all_[:, :-1]
-    out = np.repeat(all_[:, :1], 6, axis=1)
-    row, at = np.nonzero(new)
-    out[row, (np.cumsum(new, axis=1) - 1)[row, at]] = all_[new]
-    return out

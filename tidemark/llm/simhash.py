@@ -1,16 +1,14 @@
-"""SimHash near-duplicates by Golay-code fuzzy hashing.
+"""SimHash near-duplicates: all pairs within a Hamming distance, by segments.
 
 A text's fingerprint has 256 bits: for each bit, the majority of that bit among the hashes of its
 distinct word pairs (its word, where it has one only). Pairs keep function words from making unrelated
-texts of a language alike. The first 253 bits are 11 segments of 23. Each segment gives the 1 or 6 indices
-(golay.near) of the codewords it decodes to when up to one bit is turned, so two segments within 2 bits
-share an index, and by the pigeonhole principle two fingerprints that differ in at most 14 of the 253 bits
-share one in one of the first 5 segments and in another one besides. That is the condition, at every size of
-table: documents meet by (segment, index) of the first 5, and of those that do, pairs that share an index in
-a second segment are verified on all 256 bits. A small meeting place compares all its pairs and looks at the
-second segment of those that are near; a large one looks only at pairs that share a second index, a seventeenth of
-all. Both give the same pairs. A key that too many documents have is split into blocks, and each pair of
-blocks is a meeting place of its own, so that crowded keys are compared as wholly as the others, by many tasks.
+texts of a language alike. Two fingerprints are near if they differ in at most 52 bits, and all such pairs are found,
+at every size of table. Every fingerprint meets every other: many are split into blocks, each pair of blocks is a
+meeting place, and where there are few, each pair has several, among which the segments are dealt. A place needn't compare all its
+members with all. The bits are cut into segments, of 14 bits for some 200,000 members, and longer for more; by the pigeonhole
+principle two near ones are within 2 bits or so in a segment, and (layout) within some more in the segments that follow it.
+So members are grouped by the value of a segment, and a group is compared with those groups alone whose value is that near, by
+one word of that segment and the next, and on all 256 bits if those are near as well. No key or index is part of what counts as near.
 Equal fingerprints are collapsed before. What a meeting place verifies leaves it as a star of edges, so
 a group of n copies costs n edges and not n * n; groups are the connected components.
 """
@@ -19,22 +17,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import golay
 from tidemark.llm.common import cut, narrow
 from tidemark.llm.textvec import chunks, counts, mix, words
 
 FP = ["f0", "f1", "f2", "f3"]
-SEGMENTS, ALL_SEGMENTS = 5, 11
-#: Members of a key beyond which it is split into blocks; blocks a key at most, and where a place holds its pair of blocks.
+#: Fingerprints beyond which they are split into blocks; blocks at most, and where a place holds its pair of blocks.
 CROWD, MOST_BLOCKS, SHIFT = 1 << 20, 2896, 40
-#: Members of a place beyond which it compares those only that share a second index.
-REFINE = 1 << 15
+#: Fingerprints beyond which they are compared by segments, and not all with all.
+REFINE = 1 << 12
+#: About as many places there are at least (of few blocks, each pair has several, among which the segments are dealt), and tasks at most.
+LEAST_PLACES, MOST_TASKS = 24, 20_000
 SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 
 
@@ -91,52 +90,61 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *(pa.array(fp[:, k]) for k in range(4))], names=["doc_id", *FP])
 
 
-def segment(fp: np.ndarray, k: int) -> np.ndarray:
-    """Bits 23 k to 23 k + 22 of n x 4 uint64."""
-    w, o = divmod(23 * k, 64)
+def segment(fp: np.ndarray, at: int, width: int) -> np.ndarray:
+    """Bits `at` to `at` + `width` - 1 of n x 4 uint64, the first following the last; 64 at most."""
+    w, o = divmod(at, 64)
     v = fp[:, w] >> np.uint64(o)
-    if o + 23 > 64:
-        v = v | fp[:, w + 1] << np.uint64(64 - o)
-    return v & np.uint64((1 << 23) - 1)
+    if o + width > 64:
+        v = v | fp[:, (w + 1) % 4] << np.uint64(64 - o)
+    return v & np.uint64((1 << width) - 1)
 
 
-def key_rows(fp: np.ndarray, together: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row of fp, key): all combinations of one index in each of `together` segments."""
-    each = []
-    for k in range(SEGMENTS):
-        row, index = golay.near(segment(fp, k))
-        each.append((row, index.astype(np.int64)))
-    rows, keys = [], []
-    for c, chosen in enumerate(combinations(range(SEGMENTS), together)):
-        row, key = np.arange(len(fp)), np.zeros(len(fp), np.int64)
-        for s in chosen:
-            r2, i2 = each[s]
-            per = np.bincount(r2, minlength=len(fp))  # r2 is sorted
-            first = np.concatenate(([0], np.cumsum(per)[:-1]))
-            times = per[row]
-            row = np.repeat(row, times)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-            key = np.repeat(key, times) << 12 | i2[first[row] + nth]
-        rows.append(row)
-        keys.append(key << 4 | c)
-    return np.concatenate(rows), np.concatenate(keys)
-
-
-def _count_keys(together: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                fp = np.stack([b.slice(at, 2000).column(c).to_numpy().view(np.uint64) for c in FP], axis=1)
-                key, n = np.unique(key_rows(fp, together)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+def layout(n: int, other: int, most: int) -> list[tuple[int, int, int, int, int]]:
+    """(first bit, width, bits that may differ, width of it with those that follow, bits of these that may differ) of the
+    segments by which n fingerprints are compared with `other`.
 
-    return run
+    The segments share most + 1 among them. A pair that differs in no more than `most` bits has less than its share in
+    some segment, and, from one such segment on, in each run of segments in a ring (else there were runs
+    with all of their share, one after the other, all around). So whatever the number of segments, the same pairs are
+    found; the one with the least estimated time is taken.
+    """
+    best, least = [], float("inf")
+    for m in range(10, 33):
+        (width, wide), (base, extra) = divmod(256, m), divmod(most + 1, m)
+        ws, shares = [width + (k < wide) for k in range(m)] * 2, [base + (k < extra) for k in range(m)] * 2
+        segs, at, cost = [], 0, 0.0
+        for k, (w, t) in enumerate(zip(ws[:m], shares, strict=False)):
+            if t:
+                run = max(r for r in range(1, m + 1) if sum(ws[k : k + r]) <= 64)
+                segs.append((at, w, t - 1, sum(ws[k : k + run]), sum(shares[k : k + run]) - 1))
+                ball = sum(comb(w, i) for i in range(t))
+                groups, met = min(n, 1 << w), other * ball / (1 << w)
+                cost += 1e-3 * (1 << w) + groups * (80 + 0.02 * ball + 0.02 * met) + 0.006 * n * met  # microseconds, roughly
+            at += w
+        if cost < least:
+            best, least = segs, cost
+    return best
+
+
+def whole(most: int) -> list[tuple[int, int, int, int, int]]:
+    """A layout by which all are compared with all, word by word."""
+    base, extra = divmod(most + 1, 4)
+    shares = [base + (k < extra) for k in range(4)]
+    return [(64 * k, 0, 0, 64, t - 1) for k, t in enumerate(shares) if t]
+
+
+def masks(width: int, differ: int) -> np.ndarray:
+    """All words of at most `differ` of `width` bits."""
+    out = [np.zeros(1, np.int64)]
+    for k in range(1, differ + 1):
+        bits = np.array(list(combinations(range(width), k)), np.int64)
+        out.append((1 << bits).sum(axis=1))
+    return np.concatenate(out)
 
 
-def crowded_keys(uniq: DataFrame, together: int, crowd: int) -> dict[int, int]:
-    """Blocks of each key that more than `crowd` fingerprints have: with one segment a key, of 20,480 keys at most."""
-    n = uniq.mapInArrow(_count_keys(together), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > crowd).collect()
-    return {r["key"]: min(MOST_BLOCKS, -(-r["n"] // crowd)) for r in n}
+def key_rows(fp: np.ndarray, together: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of fp, key): every row has every key, so that all rows meet; the segments are dealt out to the `together` keys."""
+    return np.tile(np.arange(len(fp)), together), np.repeat(np.arange(together, dtype=np.int64), len(fp))
 
 
 def places(row: np.ndarray, key: np.ndarray, rep: np.ndarray, crowded: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,77 +167,80 @@ def block_of(rep: np.ndarray, n: int) -> np.ndarray:
     return (mix(rep.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def _keys(together: int, crowded: dict[int, int]):
+def _keys(together: int, crowded: dict[int, int], tasks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 2000):
                 part = b.slice(at, 2000)
                 fp = np.stack([part.column(c).to_numpy().view(np.uint64) for c in FP], axis=1)
                 row, key = places(*key_rows(fp, together), part.column("rep").to_numpy(), crowded)
-                yield pa.RecordBatch.from_arrays([pa.array(key), part.column("rep").take(pa.array(row)), *(pa.array(fp[row, k].view(np.int64)) for k in range(4))], names=["key", "rep", *FP])
+                lo, hi = np.divmod(key >> SHIFT, crowded.get(0, 1))
+                task = ((hi * (hi + 1) // 2 + lo) * together + (key & (1 << SHIFT) - 1)) % tasks
+                yield pa.RecordBatch.from_arrays([pa.array(task.astype(np.int32)), pa.array(key), part.column("rep").take(pa.array(row)), *(pa.array(fp[row, k].view(np.int64)) for k in range(4))], names=["task", "key", "rep", *FP])
 
     return run
 
 
-def close_pairs(fp: np.ndarray, most: int, block: int = 1024, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def find(fp: np.ndarray, most: int, split: int | None, segs: list[tuple[int, int, int, int, int]], known: list[np.ndarray], tile: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of close_pairs in pieces, some more than once.
+    Members that the labels in `known`, to which some may be added meanwhile, give one label needn't be compared."""
+    end, begin = (len(fp), 0) if split is None else (split, split)
+    if not end or begin == len(fp):
+        return
+    for at, width, differ, bits, allowed in segs:
+        v = segment(fp, at, width).astype(np.int64)
+        turn = masks(width, differ)
+        right = np.argsort(v[begin:], kind="stable") + begin
+        left = right if split is None else np.argsort(v[:end], kind="stable")
+        window = segment(fp, at, bits)
+        x, y = window[left], window[right]
+        cuts = np.zeros((1 << width) + 1, np.int64)
+        np.cumsum(np.bincount(v[right], minlength=1 << width), out=cuts[1:])
+        lv = v[left]
+        edge = np.flatnonzero(np.concatenate(([True], lv[1:] != lv[:-1], [True])))
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            near = turn ^ lv[lo]
+            if split is None:  # each pair of values once
+                near = near[near >= lv[lo]]
+            start = cuts[near]
+            n = cuts[near + 1] - start
+            stop = np.cumsum(n)
+            if not stop[-1]:
+                continue
+            col = np.repeat(start - stop + n, n) + np.arange(stop[-1])
+            if known:
+                one = known[-1][left[lo]]
+                if (known[-1][right[col]] == one).all() and (known[-1][left[lo:hi]] == one).all():
+                    continue
+            for c in range(0, len(col), tile):
+                part = col[c : c + tile]
+                z, high = y[part], max(1, tile // len(part))
+                for r in range(lo, hi, high):
+                    hit = np.flatnonzero(np.bitwise_count(x[r : min(r + high, hi), None] ^ z) <= allowed)
+                    if len(hit):
+                        i, j = np.divmod(hit, len(part))
+                        i, j = i + r, part[j]
+                        if split is None:
+                            i, j = i[i < j], j[i < j]
+                        i, j = left[i], right[j]
+                        k = np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1, dtype=np.int64) <= most
+                        yield np.minimum(i[k], j[k]), np.maximum(i[k], j[k])
+
+
+def _sorted_pairs(found: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(i * n + j for i, j in found)]))
+    return pairs // max(n, 1), pairs % max(n, 1)
+
+
+def close_pairs(fp: np.ndarray, most: int, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All i < j whose fingerprints differ in at most `most` bits; with split, those with i < split <= j."""
-    ii, jj = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    end = len(fp) if split is None else split
-    for a in range(0, end, block):
-        x = fp[a : min(a + block, end)]
-        for b in range(a if split is None else split, len(fp), block):
-            y = fp[b : b + block]
-            d = np.bitwise_count(x[:, None, 0] ^ y[None, :, 0]) + np.bitwise_count(x[:, None, 1] ^ y[None, :, 1])
-            i, j = np.nonzero(d <= most)
-            k = i + a < j + b
-            i, j = i[k], j[k]
-            d = np.bitwise_count(x[i] ^ y[j]).sum(axis=1, dtype=np.int64)
-            ii.append(i[d <= most] + a)
-            jj.append(j[d <= most] + b)
-    return np.concatenate(ii), np.concatenate(jj)
-
-
-def again(a: np.ndarray, b: np.ndarray, used: tuple[int, ...], step: int = 20_000) -> np.ndarray:
-    """Whether the fingerprints of each pair share an index in a segment that isn't used."""
-    ok = np.zeros(len(a), bool)
-    rest = [k for k in range(ALL_SEGMENTS) if k not in used]
-    x = a ^ b
-    for k in rest:  # within 2 bits they do
-        ok |= np.bitwise_count(segment(x, k)) <= 2
-    for part in np.array_split(np.flatnonzero(~ok), -(-int((~ok).sum()) // step) or 1):
-        for k in rest:
-            left = part[~ok[part]]
-            if len(left):
-                i, j = golay.near6(segment(a[left], k)), golay.near6(segment(b[left], k))
-                ok[left] = (i[:, :, None] == j[:, None, :]).any(axis=(1, 2))
-    return ok
+    return _sorted_pairs(find(fp, most, split, whole(most), []), len(fp))
 
 
 def near_pairs(fp: np.ndarray, most: int, used: tuple[int, ...], refine: int, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """close_pairs that share an index in a segment besides those used, whatever way they are found."""
-    n = len(fp)
-    if n <= refine:
-        i, j = close_pairs(fp, most, split=split)
-    else:
-        found = [np.zeros(0, np.int64)]
-        for k in range(ALL_SEGMENTS):
-            if k in used:
-                continue
-            got = [golay.near(segment(fp[at : at + 50_000], k)) for at in range(0, n, 50_000)]
-            row = np.concatenate([r + 50_000 * c for c, (r, _) in enumerate(got)])
-            index = np.concatenate([x.astype(np.uint16) for _, x in got])
-            o = np.argsort(index, kind="stable")
-            row, index = row[o], index[o]
-            cuts = np.flatnonzero(np.concatenate(([True], index[1:] != index[:-1], [True])))
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                r = row[lo:hi]  # in order
-                half = None if split is None else int(np.searchsorted(r, split))
-                if len(r) > 1 and (half is None or 0 < half < len(r)):
-                    i, j = close_pairs(fp[r], most, split=half)
-                    found.append(r[i] * n + r[j])
-        i, j = np.divmod(np.unique(np.concatenate(found)), n)
-    ok = again(fp[i], fp[j], used) if len(i) else np.zeros(0, bool)
-    return i[ok], j[ok]
+    """close_pairs, of more than `refine` members by segments. `used` has no effect: whatever segments a pair shares, it is found."""
+    n, half = len(fp), len(fp) if split is None else split
+    return _sorted_pairs(find(fp, most, split, layout(half, n - half or n, most) if n > refine else whole(most), []), n)
 
 
 def labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -245,20 +256,49 @@ def labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         lab = new
 
 
-def _meet(most: int, together: int, crowded: dict[int, int], refine: int):
+def joined(fp: np.ndarray, most: int, split: int | None, segs: list[tuple[int, int, int, int, int]], pending: int = 1 << 20) -> np.ndarray:
+    """labels() of all pairs, of which about `pending` at most are held at once."""
+    n = len(fp)
+    known: list[np.ndarray] = []
+    held, count = [], 0
+    for i, j in find(fp, most, split, segs, known):
+        if known:
+            k = known[-1][i] != known[-1][j]
+            i, j = i[k], j[k]
+        if len(i):
+            held.append((i, j))
+            count += len(i)
+        if count > pending:
+            known[:] = [_merge(n, known, held)]
+            held, count = [], 0
+    return _merge(n, known, held)
+
+
+def _merge(n: int, known: list[np.ndarray], held: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The labels of the pairs held and of the labels known."""
+    old = known[-1] if known else np.arange(n)
+    moved = np.flatnonzero(old != np.arange(n))
+    i, j = (np.concatenate(x) for x in zip((old[moved], moved), *held, strict=True))
+    return labels(n, i, j)
+
+
+def _meet(most: int, together: int, crowded: dict[int, int], segs: list[tuple[int, int, int, int, int]]):
     """Sorted (place, rep, fingerprint) rows, each place in one partition -> edges (a, b)."""
-    chosen = list(combinations(range(SEGMENTS), together))
-
-    def pairs(place: int, rep: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        used = chosen[place & 15]
-        find = close_pairs if together > 1 else lambda f, m, split=None: near_pairs(f, m, used, refine, split)  # more than one is shared already
-        n = crowded.get(place & ((1 << SHIFT) - 1))
-        if n and (place >> SHIFT) // n != (place >> SHIFT) % n:  # of two blocks, only pairs across
-            first = block_of(rep, n) == (place >> SHIFT) // n
-            o = np.argsort(~first, kind="stable")
-            i, j = find(fp[o], most, split=int(first.sum()))
-            return o[i], o[j]
-        return find(fp, most)
+
+    def grouped(place: int, rep: np.ndarray, fp: np.ndarray) -> np.ndarray:
+        """The label of each member, where rep ascends."""
+        n, pair, part = crowded.get(0, 1), place >> SHIFT, place & (1 << SHIFT) - 1
+        own = segs[part::together]
+        if pair // n == pair % n:
+            return joined(fp, most, None, own)
+        first = block_of(rep, n) == pair // n  # of two blocks, only pairs across
+        o = np.argsort(~first, kind="stable")
+        lab = o[joined(fp[o], most, int(first.sum()), own)]
+        least = np.full(len(rep), len(rep))
+        np.minimum.at(least, lab, o)
+        out = np.empty_like(o)
+        out[o] = least[lab]
+        return out
 
     def solve(x: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key, rep = x[:, 0], x[:, 1]
@@ -266,16 +306,12 @@ def _meet(most: int, together: int, crowded: dict[int, int], refine: int):
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             if hi - lo > 1:
-                i, j = pairs(int(key[lo]), rep[lo:hi], fp[lo:hi])
-                if len(i):
-                    o = np.argsort(rep[lo:hi], kind="stable")
-                    at = np.empty_like(o)
-                    at[o] = np.arange(len(o))
-                    lab = labels(len(o), at[i], at[j])
-                    moved = np.flatnonzero(lab != np.arange(len(o)))
-                    r = rep[lo:hi][o]
-                    a.append(r[lab[moved]])
-                    b.append(r[moved])
+                o = np.argsort(rep[lo:hi], kind="stable")
+                r = rep[lo:hi][o]
+                lab = grouped(int(key[lo]), r, fp[lo:hi][o])
+                moved = np.flatnonzero(lab != np.arange(len(o)))
+                a.append(r[lab[moved]])
+                b.append(r[moved])
         return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,16 +358,23 @@ def near_duplicates(docs: DataFrame, most: int = 52, together: int = 1, crowd: i
     Near: fingerprints differ in at most `most` of 256 bits, directly or through others. Texts without
     words (only punctuation, or "") are duplicates only of byte-equal texts. Null texts and null doc_ids
     take no part. Very long texts count whole. Rows that share a doc_id are one document (their texts count as near each other).
-    Other columns are ignored. An empty table gives no rows. Whatever the size of the table, pairs that differ in at most
-    14 of the first 253 bits are found without fail, and others within `most` nearly always (README). A document is compared
-    with about n / 300 others by chance, from `refine` members of a place on with n / 5000; keys of more than `crowd` are split.
+    Other columns are ignored. An empty table gives no rows. Whatever the size of the table, all pairs within `most` are found.
+    `crowd`: fingerprints of a block at most; `refine`: fingerprints beyond which they are compared by segments;
+    `together`: places of a pair of blocks at least. The result depends on none of these.
     """
     d = narrow(docs, "doc_id", "text").filter("doc_id is not null and text is not null")
     fps = cut(d.mapInArrow(_fingerprint, "doc_id long, f0 long, f1 long, f2 long, f3 long"))
     uniq = cut(fps.groupBy(*FP).agg(F.min("doc_id").alias("rep")))
-    crowded = crowded_keys(uniq, together, crowd)
-    keys = uniq.mapInArrow(_keys(together, crowded), "key long, rep long, f0 long, f1 long, f2 long, f3 long")
-    edges = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(most, together, crowded, refine), "a long, b long")
+    n = uniq.count()
+    blocks = max(1, min(MOST_BLOCKS, -(-n // crowd)))
+    side = -(-n // blocks)
+    segs = layout(side, side, most) if n > refine else whole(most)
+    together = max(together, min(len(segs), -(-LEAST_PLACES // blocks**2)))
+    crowded = dict.fromkeys(range(together), blocks) if blocks > 1 else {}
+    tasks = min(MOST_TASKS, blocks * (blocks + 1) // 2 * together)
+    keys = uniq.mapInArrow(_keys(together, crowded, tasks), "task int, key long, rep long, f0 long, f1 long, f2 long, f3 long")
+    keys = keys.repartitionById(tasks, "task").drop("task").sortWithinPartitions("key")
+    edges = keys.mapInArrow(_meet(most, together, crowded, segs), "a long, b long")
     same = fps.join(uniq, FP).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     lab = components(cut(edges.distinct()).union(same))
     return lab.filter("id <> label").select(F.col("id").alias("doc_id"), F.col("label").alias("duplicate_of"))
