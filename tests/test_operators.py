@@ -151,6 +151,24 @@ def test_dedup_and_search(spark):
     assert sorted(tuple(x) for x in search.recall(r, e).collect()) == [("q", 1, True, 2), ("q", 7, False, -1)]
 
 
+def test_coverage_gap_counts_pages_as_its_sql(spark, tmp_path):
+    import duckdb
+
+    urls = ["https://a.b/1?x=1", "https://a.b/1?x=1", "https://a.b/1?x=1#f", "https://a.b/2?y=1", "https://a.b/3", "https://a.b/3?utm_source=x", None]
+    for name, some, want in (("all", urls, (4, 2)), ("none stored", [u for u in urls if u != "https://a.b/3"], (6, 3))):
+        d = str(tmp_path / name)
+        spark.createDataFrame(list(enumerate(some)), "page_id long, url string").withColumn("html", F.lit("")).write.parquet(f"{d}/pages.parquet")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{d}/pages.parquet/*.parquet')")
+        assert [tuple(r) for r in catalog.coverage_gap(spark, d).collect()] == con.execute(catalog.SQL["coverage_gap"]).fetchall() == [want]
+
+
+def test_coverage_gap_is_by_source(spark):
+    live = spark.createDataFrame([("s", "h1", "u1"), ("s", "h1", "u1"), ("t", "h1", "u1"), ("t", "h2", "u2")], "source_id string, url_hash string, url string")
+    stored = spark.createDataFrame([("t", "h2")], "source_id string, url_hash string")
+    assert sorted((r["source_id"], r["url"]) for r in dedup.coverage_gap(live, stored).collect()) == [("s", "u1"), ("t", "u1")]
+
+
 def test_pipeline_accounts_for_every_row(spark):
     rows = [("s", "n", "https://a/1", "A collision of two tankers", "Two tankers collided near the port of Hamburg today.", "2026-01-01", None, "aggregator"), ("s", "n", "https://a/2", "Short", "x", None, None, "trusted"), ("s", "n", "https://a/3", "A title that is fine", "An excerpt of more than thirty characters.", None, None, "trusted")]
     raw = spark.createDataFrame(rows, "source_id string, source_name string, url string, title string, excerpt string, published_at string, category_hint string, trust string")

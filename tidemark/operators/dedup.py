@@ -28,9 +28,14 @@ def repeated_prefix(df: DataFrame, text: str, size: int = 250) -> DataFrame:
     return own.groupBy("prefix_hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows >= 2")
 
 
+def uncovered(live: DataFrame, stored: DataFrame) -> DataFrame:
+    """Live (source_id, url_hash, url) rows that the store lacks. Repeats inside live stay. A null hash is lacking."""
+    return live.join(stored.select("source_id", "url_hash").distinct(), ["source_id", "url_hash"], "left_anti")
+
+
 def coverage_gap(live: DataFrame, stored: DataFrame) -> DataFrame:
-    """Live (source_id, url_hash, url) rows that the store lacks, once an address."""
-    return live.join(stored.select("source_id", "url_hash").distinct(), ["source_id", "url_hash"], "left_anti").dropDuplicates(["url"])
+    """What the store lacks, once for each source and address."""
+    return uncovered(live, stored).dropDuplicates(["source_id", "url"])
 
 
 def systematic(df: DataFrame, order: str, wanted: int) -> DataFrame:

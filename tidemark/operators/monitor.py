@@ -81,7 +81,7 @@ def flags(logs: DataFrame, articles: DataFrame, now: Column, live: DataFrame | N
     b = b.join(peak, "source_id", "left").withColumn("peak_found", F.coalesce("peak_found", F.lit(False)))
     if live is not None:
         shown = live.groupBy("source_id").agg(F.max("published_at").alias("shown"))
-        gap = coverage_gap(live, articles).groupBy("source_id").agg(F.count(F.lit(1)).alias("uncaptured"))
+        gap = coverage_gap(live, articles).groupBy("source_id").agg(F.count("url").alias("uncaptured"))
         b = b.join(shown, "source_id", "left").join(gap, "source_id", "left").withColumn("uncaptured", F.coalesce("uncaptured", F.lit(0).cast("long"))).withColumn("feed_lag", hours_between("newest", F.col("shown"))).drop("shown")
     else:
         b = b.withColumn("uncaptured", F.lit(0).cast("long")).withColumn("feed_lag", F.lit(None).cast("double"))
