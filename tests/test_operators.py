@@ -142,6 +142,33 @@ def test_page():
     assert feeds.read_page(None)[1] is None
 
 
+def test_pages_are_parsed_in_bounded_pieces(spark, monkeypatch):
+    """Of a large batch no more than a run of pages is held as Python objects, and none is lost."""
+    import pyarrow as pa
+
+    from tidemark.sources import pages
+
+    df, kept, seen, own = spark.createDataFrame([], "page_id long, html string"), [], [], feeds.read_page
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: kept.append(run))
+    monkeypatch.setattr(feeds, "read_page", lambda h: seen.append(h) or own(h))
+    feeds.page_details(df)
+    html = [None if i % 7 == 0 else f"<h1>{i}</h1>" + "x" * (3 << 20) * (i == 500) for i in range(1000)]
+    out, ids, titles = kept[0](iter([pa.RecordBatch.from_pydict({"page_id": list(range(1000)), "html": html})])), [], []
+    for b in out:
+        assert b.num_rows <= 256 and len(seen) == len(ids) + b.num_rows
+        ids, titles = ids + b.column("page_id").to_pylist(), titles + b.column("title").to_pylist()
+    assert ids == list(range(1000)) and titles == [None if i % 7 == 0 else str(i) for i in range(1000)]
+    x = pa.RecordBatch.from_pydict({"h": ["abcd", "abcdefghij", None, "a", "b", "c"]}).slice(1)
+    assert [p.column("h").to_pylist() for p in pages.pieces(x, "h", 2, 5)] == [["abcdefghij"], [None, "a"], ["b", "c"]]
+    assert list(pages.pieces(x.slice(0, 0), "h")) == []
+
+
+def test_page_ids_stay_as_they_are(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, "<h1>a</h1>"), (None, "<h1>b</h1>")], "page_id long, html string").coalesce(1)
+    assert {(r["page_id"], r["title"]) for r in feeds.page_details(df).collect()} == {(big, "a"), (None, "b")}
+
+
 def test_dedup_and_search(spark):
     x = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, k string")
     assert sorted(r[0] for r in dedup.unknown(x, spark.createDataFrame([("a",), (None,)], "k string"), "k").select("id").collect()) == [3, 4]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import html_to_text, https, strip_cache_bust
 from tidemark.operators.gates import gate_reason
 from tidemark.operators.outcomes import selected_text
+from tidemark.sources.pages import rows_of
 
 ITEM = "feed_url string, position int, link string, title string, body string, published string, image string, author string"
 
@@ -200,13 +201,7 @@ def read_page(html: str | None, least: int = 40) -> tuple:
 
 def page_details(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """A row a page: title (h1, og:title, title), body (paragraphs of 40 characters or more, from article, main or body; at most 2000), image, author, dates, links."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = [id_col, *(c.strip().split()[0] for c in PAGE.split(", "))]
-        for f in frames:
-            yield pd.DataFrame([(i, *read_page(h)) for i, h in zip(f[id_col], f[html_col], strict=True)], columns=cols)
-
-    return pages.select(id_col, html_col).mapInPandas(run, f"{id_col} {dict(pages.dtypes)[id_col]}, {PAGE}")
+    return rows_of(pages, id_col, html_col, PAGE, lambda h: [read_page(h)])
 
 
 def pdf_magic(content: Column) -> Column:

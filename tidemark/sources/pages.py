@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,6 +119,19 @@ def date_fields(html: str | None, date_selector: str | None = None) -> tuple:
     return (own.attr("datetime") if own else None, own.text() if own else None, meta, ld_first(doc), semantic.attr("datetime") if semantic else None, None if semantic else loose.attr("datetime") if loose else None, text, scope)
 
 
+def pieces(b: pa.RecordBatch, col: str, most_rows: int = 256, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """b in runs of at most so many rows and bytes of col, one row at least. Spark's batches fill up to 10,000 rows or 64 MB as
+    partitions grow, and what Python makes of a page is several times the page; so only a run is held as Python objects."""
+    start = held = 0
+    for i, n in enumerate(pc.binary_length(b.column(col)).to_pylist()):
+        if i > start and (i - start >= most_rows or held + (n or 0) > most_bytes):
+            yield b.slice(start, i - start)
+            start, held = i, 0
+        held += n or 0
+    if start < b.num_rows:
+        yield b.slice(start)
+
+
 def rows_of(df: DataFrame, id_col: str, html_col: str, schema: str, f: Callable[[str | None], list[tuple]], with_url: str | None = None) -> DataFrame:
     """f(html), or f(html, url), -> rows of the schema, with the page's id before them."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -126,13 +140,17 @@ def rows_of(df: DataFrame, id_col: str, html_col: str, schema: str, f: Callable[
 
     kinds = list(to_arrow_schema(types).types)
 
+    def read(b: pa.RecordBatch) -> pa.RecordBatch:
+        urls = b.column(with_url).to_pylist() if with_url else None
+        got = [f(h, urls[i]) if urls else f(h) for i, h in enumerate(b.column(html_col).to_pylist())]
+        at = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
+        cols = list(zip(*[r for rows in got for r in rows], strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([b.column(id_col).take(at), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], names=[id_col, *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            urls = b.column(with_url).to_pylist() if with_url else None
-            got = [f(h, urls[i]) if urls else f(h) for i, h in enumerate(b.column(html_col).to_pylist())]
-            at = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
-            cols = list(zip(*[r for rows in got for r in rows], strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([b.column(id_col).take(at), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], names=[id_col, *names])
+            yield from map(read, pieces(b, html_col))
+            del b  # before the next one comes
 
     return df.select(id_col, html_col, *([with_url] if with_url else [])).mapInArrow(run, f"{id_col} {dict(df.dtypes)[id_col]}, {schema}")
 
